@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 from tidemark.functions.times import batch_number, moment
 
 # Audit columns that are not compared.
-IGNORED
+IGNORED_COLUMNS = ("src_load_ts", "batch_id", "etl_load_ts", "etl_updt_ts")
+
+DRIFT_KEYS = ["model_id", "model_grp", "pipeline_name", "batch_id"]
+
+
 def table_columns(df: DataFrame, model_id: str) -> DataFrame:
     """(model_id, column_name, data_type) of a table's schema."""
     rows = [
