@@ -1,0 +1,214 @@
+from datetime import datetime, timedelta
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tests.conftest import rows_of
+from tidemark.operators import neighbours
+from tidemark.operators.history import (
+    apply_versions,
+    close_intervals,
+    close_out,
+    settle_reporting,
+    version_columns,
+)
+from tidemark.operators.merge import merge
+from tidemark.operators.neighbours import HotGroups, find_hot_groups, with_neighbour
+
+DDL = (
+    "sk string, seq string, start_ts timestamp_ntz, end_ts timestamp_ntz, "
+    "active_flg string, reporting_flg string, etl_load_ts timestamp_ntz"
+)
+
+
+def day(n):
+    return datetime(2024, 1, 1) + timedelta(days=n)
+
+
+def row(sk, seq, start, active="Y", reporting="Y", end=None, load=0):
+    return (sk, seq, day(start), None if end is None else day(end), active, reporting, day(load))
+
+
+def state(df):
+    return {
+        (r["sk"], r["seq"], (r["start_ts"] - day(0)).days): (
+            None if r["end_ts"] is None else (r["end_ts"] - day(0)).days,
+            r["active_flg"],
+            r["reporting_flg"],
+        )
+        for r in df.collect()
+    }
+
+
+def all_hot(df, group):
+    """Every group of a small frame declared hot."""
+    ids = [r[0] for r in df.select(F.xxhash64(*group)).distinct().collect()]
+    return HotGroups(tuple(group), tuple((i, 100) for i in ids))
+
+
+def test_active_rows_end_where_the_next_starts(frame):
+    df = frame([row("a", "1", 1), row("a", "2", 5), row("a", "0", 0, "N", "N", 1), row("b", "1", 2)], DDL)
+    assert state(close_intervals(df, "sk", "seq")) == {
+        ("a", "0", 0): (1, "N", "N"),
+        ("a", "1", 1): (5, "N", "N"),
+        ("a", "2", 5): (None, "Y", "Y"),
+        ("b", "1", 2): (None, "Y", "Y"),
+    }
+
+
+def test_equal_starts_are_ordered_by_version(frame):
+    df = frame([row("a", "2", 1), row("a", "1", 1)], DDL)
+    got = state(close_intervals(df, "sk", "seq"))
+    assert got[("a", "1", 1)] == (1, "N", "N") and got[("a", "2", 1)] == (None, "Y", "Y")
+
+
+def test_rows_without_entity_or_version_stay(frame):
+    df = frame([row(None, "1", 1), row(None, "2", 2), row("a", None, 1), row("a", "1", 3)], DDL)
+    got = state(close_out(df, "sk", "seq"))
+    assert got[(None, "1", 1)] == got[(None, "2", 2)] == (None, "Y", "Y")
+    assert got[("a", None, 1)] == (None, "Y", "Y") and got[("a", "1", 3)] == (None, "Y", "Y")
+
+
+def test_older_reporting_rows_of_a_version_stop_reporting(frame):
+    df = frame([row("a", "1", 1, "N"), row("a", "1", 5), row("a", "1", 3, "N", "N"), row("a", "2", 0, "N")], DDL)
+    got = state(settle_reporting(df, "sk", "seq"))
+    assert got[("a", "1", 1)][2] == "N" and got[("a", "1", 5)][2] == "Y"
+    assert got[("a", "1", 3)][2] == "N" and got[("a", "2", 0)][2] == "Y"
+
+
+VERSIONS = st.lists(
+    st.tuples(
+        st.sampled_from(["a", "b", None]),
+        st.sampled_from(["1", "2", "3"]),
+        st.integers(0, 6),
+        st.sampled_from(["Y", "N", None]),
+        st.sampled_from(["Y", "N", None]),
+    ),
+    max_size=12,
+    unique_by=lambda v: v[:3],
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(versions=VERSIONS)
+def test_close_out_forms_agree(frame, versions):
+    df = frame([row(*v) for v in versions], DDL)
+    apart = settle_reporting(close_intervals(df, "sk", "seq"), "sk", "seq")
+    one_shuffle = close_out(df, "sk", "seq")
+    assert rows_of(one_shuffle) == rows_of(apart)
+    open_rows = [r for r in one_shuffle.collect() if r["active_flg"] == "Y" and r["sk"]]
+    assert len(open_rows) == len({r["sk"] for r in open_rows})
+    again = close_out(one_shuffle, "sk", "seq")
+    assert rows_of(again) == rows_of(one_shuffle)
+
+
+def test_close_out_shuffles_once(frame):
+    df = frame([row("a", "1", 1)], DDL)
+    plan = close_out(df, "sk", "seq")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("cuts", [1, 3, 20])
+@pytest.mark.parametrize("back", [False, True])
+def test_hot_groups_give_the_same_neighbours(spark, back, cuts):
+    """One group holds most rows, with many equal order values and NULLs."""
+    df = spark.range(600).select(
+        F.when(F.col("id") % 5 < 4, F.lit("hot")).when(F.col("id") % 2 == 0, "x").alias("g"),
+        F.when(F.col("id") % 11 != 0, F.col("id") % 37).alias("o"),
+        F.col("id").alias("tie"),
+    )
+    args = (["g"], ["o", "tie"], {"seen": "tie", "at": "o"})
+    plain = with_neighbour(df, *args, back=back)
+    sliced = with_neighbour(df, *args, back=back, hot=all_hot(df, ["g"]), cuts_per_group=cuts)
+    assert sliced.columns == plain.columns
+    assert rows_of(sliced) == rows_of(plain)
+
+
+def test_hot_entity_closes_like_any_other(spark, frame):
+    rows = [row("hot", f"{i:03d}", i // 3, "Y" if i % 4 else "N", "Y") for i in range(200)]
+    df = frame(rows + [row("b", "1", 1), row("b", "2", 2), row(None, "1", 4)], DDL)
+    hot = all_hot(df, ["sk"])
+    assert rows_of(close_intervals(df, "sk", "seq", hot=hot)) == rows_of(close_intervals(df, "sk", "seq"))
+    assert rows_of(close_out(df, "sk", "seq", hot=hot)) == rows_of(close_out(df, "sk", "seq"))
+
+
+def test_hot_groups_are_found(spark):
+    df = spark.range(5000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("g"))
+    found = find_hot_groups(df, ["g"], min_rows=1000, search_from_bytes=0)
+    assert [count for _, count in found.counts] == [1668]
+    assert not find_hot_groups(df, ["g"])
+
+
+def test_new_versions_replace_and_reopen(frame):
+    """A -> B -> A: the first version is opened again with its first load time."""
+    target = frame(
+        [row("a", "A", 1, "N", "N", 5, load=1), row("a", "B", 5, load=5), row("b", "A", 2, load=2),
+         row("c", "A", 1, "N", "Y", 3, load=1)],
+        DDL,
+    )
+    source = frame([row("a", "A", 9, load=9), row("d", "A", 9, load=9)], DDL)
+    got = apply_versions(target, source, "sk", "seq")
+    assert state(got) == {
+        ("a", "B", 5): (9, "N", "N"),
+        ("a", "A", 9): (None, "Y", "Y"),
+        ("b", "A", 2): (None, "Y", "Y"),
+        ("c", "A", 1): (3, "N", "Y"),
+        ("d", "A", 9): (None, "Y", "Y"),
+    }
+    loads = {(r["sk"], r["seq"]): (r["etl_load_ts"] - day(0)).days for r in got.collect()}
+    assert loads[("a", "A")] == 1 and loads[("d", "A")] == 9
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    old=st.lists(
+        st.tuples(st.sampled_from("abc"), st.sampled_from("123"), st.integers(0, 4),
+                  st.sampled_from(["Y", "N", None]), st.sampled_from(["Y", "N", None])),
+        max_size=7, unique_by=lambda v: v[:2]),
+    new=st.lists(
+        st.tuples(st.sampled_from("abcd"), st.sampled_from("123"), st.integers(5, 9)),
+        max_size=5, unique_by=lambda v: v[:2]),
+    small=st.booleans(),
+)
+def test_apply_versions_equals_merge_and_close_out(frame, old, new, small):
+    target = frame([row(*v, load=v[2]) for v in old], DDL)
+    source = frame([row(*v, load=v[2]) for v in new], DDL)
+    plain = close_out(merge(target, source, ["sk", "seq"], exclude=["etl_load_ts"]), "sk", "seq")
+    got = apply_versions(target, source, "sk", "seq", small_source=small)
+    assert rows_of(got) == rows_of(plain)
+
+
+def test_apply_versions_finds_hot_entities(frame, monkeypatch):
+    monkeypatch.setattr(neighbours, "SEARCH_FROM_BYTES", 0)
+    rows = [row("hot", f"{i:03d}", i) for i in range(50)]
+    target, source = frame(rows[:30], DDL), frame(rows[30:], DDL)
+    plain = apply_versions(target, source, "sk", "seq")
+    import tidemark.operators.history as history
+
+    seen, cuts = [], []
+    make_cuts = neighbours._cut_points
+
+    def cut(*args):
+        cuts.append(make_cuts(*args))
+        return cuts[-1]
+
+    monkeypatch.setattr(neighbours, "_cut_points", cut)
+
+    def find(df, group):
+        found = find_hot_groups(df, group, min_rows=20, search_from_bytes=0)
+        seen.append(found.counts)
+        return found
+
+    monkeypatch.setattr(history, "find_hot_groups", find)
+    assert rows_of(apply_versions(target, source, "sk", "seq")) == rows_of(plain)
+    assert seen[0][0][1] == 50
+    assert len(cuts[0].first()["__cuts"]) > 10
+
+
+def test_version_columns(frame):
+    df = frame([("a", day(3))], "sk string, loaded timestamp_ntz")
+    got = version_columns(df, "loaded", "20240101", "2024-02-01").first()
+    assert (got["start_ts"], got["end_ts"], got["active_flg"]) == (day(3), None, "Y")
+    assert got["etl_load_ts"] == got["etl_updt_ts"] == datetime(2024, 2, 1)

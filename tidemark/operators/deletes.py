@@ -13,6 +13,7 @@ from tidemark.functions.times import batch_number, moment
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.merge import merge
 from tidemark.operators.sizing import fits_broadcast
+from tidemark.sources.tables import settle
 
 # Fixed value: the event type that marks a delete in the change archive.
 DELETE_EVENT = "IncrementalDeleteRows"
@@ -80,7 +81,8 @@ def logged_keys(log: DataFrame, model_id: str, target: DataFrame, key: str) -> D
 
 def count_deletes(target: DataFrame, log: DataFrame, model_id: str, key: str) -> DataFrame:
     """How many rows of the table the log would delete, as one row."""
-    hits = target.select(key).join(logged_keys(log, model_id, target, key), key, "left_semi")
+    keys = settle(logged_keys(log, model_id, target, key))
+    hits = target.select(key).join(keys, key, "left_semi")
     return hits.agg(F.count(F.lit(1)).alias("deleted_count"))
 
 
@@ -162,8 +164,9 @@ def _distinct(deletes: DataFrame, keys: Mapping[str, str], condition: Column | N
         raise ValueError("a delete needs at least one key equality")
     if condition is None:
         deletes = deletes.select(*keys.values())
-    # Folded map-side: a key deleted over and over moves once per task.
-    return deletes.distinct()
+    # Folded map-side: a key deleted over and over moves once per task. Settled: its size
+    # is known before Spark decides whether the table has to be shuffled.
+    return settle(deletes.distinct())
 
 
 def _around_null_keys(

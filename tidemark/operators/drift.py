@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import batch_number, moment
+from tidemark.sources.tables import settle
 
 # Audit columns that are not compared.
 IGNORED_COLUMNS = ("src_load_ts", "batch_id", "etl_load_ts", "etl_updt_ts")
@@ -76,7 +77,7 @@ def record_drift(
             "etl_updt_ts": moment(now),
         }
     )
-    groups = checked.select("model_id").distinct().withColumns(tags)
+    groups = settle(checked.select("model_id").distinct()).withColumns(tags)
     kept = log.join(groups, DRIFT_KEYS, "left_anti").select(*log.columns)
     return kept.unionByName(rows.select(*log.columns))
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
@@ -29,8 +29,10 @@ MAX_CUTS = 255
 
 @dataclass(frozen=True)
 class HotGroups:
-    """Hot groups of one input: (group hash, row count), never more than MAX_HOT_GROUPS."""
+    """Hot groups of one input: the columns that name a group, and (hash, row count) of
+    at most MAX_HOT_GROUPS of them."""
 
+    columns: tuple[str, ...]
     counts: tuple[tuple[int, int], ...]
 
     def __bool__(self) -> bool:
@@ -50,7 +52,7 @@ def find_hot_groups(
     """
     size = input_bytes(df)
     if size is not None and size < search_from_bytes:
-        return HotGroups(())
+        return HotGroups(tuple(group), ())
     sketch = df.agg(
         F.call_function(
             "approx_top_k", F.xxhash64(*group), F.lit(MAX_HOT_GROUPS), F.lit(10_000)
@@ -61,7 +63,7 @@ def find_hot_groups(
         .filter(F.col("count") >= F.lit(min_rows))
         .collect()
     )
-    return HotGroups(tuple((row["item"], row["count"]) for row in rows))
+    return HotGroups(tuple(group), tuple((row["item"], row["count"]) for row in rows))
 
 
 def with_neighbour(
@@ -72,22 +74,26 @@ def with_neighbour(
     *,
     back: bool = False,
     hot: HotGroups | None = None,
+    among: Column | None = None,
     cuts_per_group: int = MAX_CUTS,
 ) -> DataFrame:
     """Add the next row's values (or the previous row's, ``back``) in the group's order.
 
     ``values`` maps a new column to the column it is read from. ``order`` must be a total
-    order within the group for a result that does not depend on the run.
+    order within the group for a result that does not depend on the run. ``hot`` names
+    groups to slice, by some of the ``group`` columns; ``among`` limits that to the rows
+    whose groups can be large at all.
     """
     step = F.lag if back else F.lead
     if not hot:
         window = Window.partitionBy(*group).orderBy(*order)
         return df.withColumns({new: step(old).over(window) for new, old in values.items()})
 
-    cuts = _cut_points(df, group, order, hot, min(cuts_per_group, MAX_CUTS))
+    among = F.lit(True) if among is None else among
+    cuts = _cut_points(df.filter(among), order, hot, min(cuts_per_group, MAX_CUTS))
     rank = F.struct(*[F.col(c) for c in order])
     sliced = (
-        df.withColumn("__gid", F.xxhash64(*group))
+        df.withColumn("__gid", F.when(among, F.xxhash64(*hot.columns)))
         .join(F.broadcast(cuts), "__gid", "left")
         .withColumn(
             "__slice",
@@ -136,14 +142,14 @@ def with_neighbour(
 
 
 def _cut_points(
-    df: DataFrame, group: Sequence[str], order: Sequence[str], hot: HotGroups, cuts: int
+    df: DataFrame, order: Sequence[str], hot: HotGroups, cuts: int
 ) -> DataFrame:
     """(group hash, sorted cut structs) from a sample; fixed on the driver for one plan."""
     ids = [item for item, _ in hot.counts]
     total = sum(count for _, count in hot.counts)
     wanted = 40 * (cuts + 1) * len(ids)
     ranks = df.select(
-        F.xxhash64(*group).alias("__gid"), F.struct(*[F.col(c) for c in order]).alias("rank")
+        F.xxhash64(*hot.columns).alias("__gid"), F.struct(*[F.col(c) for c in order]).alias("rank")
     ).filter(F.col("__gid").isin(ids))
     sampled = ranks.sample(fraction=min(1.0, wanted / max(total, 1)), seed=17)
     size = F.size("ranks")

@@ -6,12 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from tidemark.sources.tables import settle
+
 
 def replace_rows(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``existing`` without the key groups that ``new`` holds, plus ``new``.
 
-    The key groups of ``new`` are folded to one row each before the join.
+    The key groups of ``new`` are folded to one row each and settled: written, they are
+    small enough to be broadcast as a rule, and a batch with a third of all rows is then
+    filtered in place instead of being shuffled to one task.
     """
-    groups = new.select(*keys).distinct()
+    groups = settle(new.select(*keys).distinct())
     kept = existing.join(groups, list(keys), "left_anti").select(*existing.columns)
     return kept.unionByName(new.select(*existing.columns))

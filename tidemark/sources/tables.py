@@ -90,11 +90,14 @@ def settle(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back.
 
     For an increment that several branches of a plan use: it is computed once, survives
-    lost executors, and has a measured size for Spark's join choice.
+    lost executors, and has a measured size for Spark's join choice. All settled frames of
+    an application share a folder, which may go when the application has ended.
     """
-    folder = f"{shared_folder(df.sparkSession)}/tidemark/{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    application = spark.conf.get("spark.app.id", "session")
+    folder = f"{shared_folder(spark)}/tidemark/{application}/{uuid.uuid4().hex}"
     df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def _checked(name: str) -> str:
