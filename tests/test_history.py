@@ -110,9 +110,9 @@ def test_close_out_shuffles_once(frame):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
-@pytest.mark.parametrize("cuts", [1, 3, 20])
+@pytest.mark.parametrize("slice_rows", [1, 7, 60])
 @pytest.mark.parametrize("back", [False, True])
-def test_hot_groups_give_the_same_neighbours(spark, back, cuts):
+def test_hot_groups_give_the_same_neighbours(spark, back, slice_rows):
     """One group holds most rows, with many equal order values and NULLs."""
     df = spark.range(600).select(
         F.when(F.col("id") % 5 < 4, F.lit("hot")).when(F.col("id") % 2 == 0, "x").alias("g"),
@@ -121,7 +121,7 @@ def test_hot_groups_give_the_same_neighbours(spark, back, cuts):
     )
     args = (["g"], ["o", "tie"], {"seen": "tie", "at": "o"})
     plain = with_neighbour(df, *args, back=back)
-    sliced = with_neighbour(df, *args, back=back, hot=all_hot(df, ["g"]), cuts_per_group=cuts)
+    sliced = with_neighbour(df, *args, back=back, hot=all_hot(df, ["g"]), slice_rows=slice_rows)
     assert sliced.columns == plain.columns
     assert rows_of(sliced) == rows_of(plain)
 
@@ -181,7 +181,6 @@ def test_apply_versions_equals_merge_and_close_out(frame, old, new, small):
 
 
 def test_apply_versions_finds_hot_entities(frame, monkeypatch):
-    monkeypatch.setattr(neighbours, "SEARCH_FROM_BYTES", 0)
     rows = [row("hot", f"{i:03d}", i) for i in range(50)]
     target, source = frame(rows[:30], DDL), frame(rows[30:], DDL)
     plain = apply_versions(target, source, "sk", "seq")
@@ -190,8 +189,8 @@ def test_apply_versions_finds_hot_entities(frame, monkeypatch):
     seen, cuts = [], []
     make_cuts = neighbours._cut_points
 
-    def cut(*args):
-        cuts.append(make_cuts(*args))
+    def cut(df, order, hot, slice_rows):
+        cuts.append(make_cuts(df, order, hot, 4))
         return cuts[-1]
 
     monkeypatch.setattr(neighbours, "_cut_points", cut)
@@ -204,7 +203,7 @@ def test_apply_versions_finds_hot_entities(frame, monkeypatch):
     monkeypatch.setattr(history, "find_hot_groups", find)
     assert rows_of(apply_versions(target, source, "sk", "seq")) == rows_of(plain)
     assert seen[0][0][1] == 50
-    assert len(cuts[0].first()["__cuts"]) > 10
+    assert len(cuts[0].first()["__cuts"]) > 5
 
 
 def test_version_columns(frame):

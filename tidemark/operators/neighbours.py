@@ -22,9 +22,12 @@ from tidemark.operators.sizing import input_bytes
 HOT_GROUP_ROWS = 5_000_000
 # Inputs below this size cannot hold such a group, so they are not searched.
 SEARCH_FROM_BYTES = 256 * 2**20
-# Bounds for what reaches the driver: hot groups, and cut points per group.
+# A slice aims at this many rows.
+SLICE_ROWS = 2_000_000
+# Bounds for what reaches the driver: hot groups, and cut points per group (a power of
+# two less one, for the search below).
 MAX_HOT_GROUPS = 64
-MAX_CUTS = 255
+MAX_CUTS = 1023
 
 
 @dataclass(frozen=True)
@@ -75,7 +78,7 @@ def with_neighbour(
     back: bool = False,
     hot: HotGroups | None = None,
     among: Column | None = None,
-    cuts_per_group: int = MAX_CUTS,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Add the next row's values (or the previous row's, ``back``) in the group's order.
 
@@ -90,15 +93,12 @@ def with_neighbour(
         return df.withColumns({new: step(old).over(window) for new, old in values.items()})
 
     among = F.lit(True) if among is None else among
-    cuts = _cut_points(df.filter(among), order, hot, min(cuts_per_group, MAX_CUTS))
+    cuts = _cut_points(df.filter(among), order, hot, slice_rows)
     rank = F.struct(*[F.col(c) for c in order])
     sliced = (
         df.withColumn("__gid", F.when(among, F.xxhash64(*hot.columns)))
         .join(F.broadcast(cuts), "__gid", "left")
-        .withColumn(
-            "__slice",
-            F.coalesce(F.size(F.filter("__cuts", lambda c: c <= rank)), F.lit(0)),
-        )
+        .withColumn("__slice", _count_up_to(F.col("__cuts"), rank))
         .withColumn("__hot", F.col("__cuts").isNotNull())
         .drop("__cuts")
     )
@@ -141,26 +141,40 @@ def with_neighbour(
     )
 
 
+def _count_up_to(cuts: Column, rank: Column) -> Column:
+    """How many of the sorted cuts are not above ``rank``, by halving steps; 0 without cuts."""
+    steps = F.array(*[F.lit(2**i) for i in reversed(range(MAX_CUTS.bit_length()))])
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        lambda count, step: count
+        + F.when(F.get(cuts, count + step - 1) <= rank, step).otherwise(F.lit(0)),
+    )
+
+
 def _cut_points(
-    df: DataFrame, order: Sequence[str], hot: HotGroups, cuts: int
+    df: DataFrame, order: Sequence[str], hot: HotGroups, slice_rows: int
 ) -> DataFrame:
     """(group hash, sorted cut structs) from a sample; fixed on the driver for one plan."""
-    ids = [item for item, _ in hot.counts]
-    total = sum(count for _, count in hot.counts)
-    wanted = 40 * (cuts + 1) * len(ids)
+    spark = df.sparkSession
+    cuts_of = {item: min(MAX_CUTS, max(1, count // slice_rows)) for item, count in hot.counts}
+    # About 40 sampled rows between two cuts.
+    wanted = 40 * sum(cuts + 1 for cuts in cuts_of.values())
+    total = max(1, sum(count for _, count in hot.counts))
     ranks = df.select(
         F.xxhash64(*hot.columns).alias("__gid"), F.struct(*[F.col(c) for c in order]).alias("rank")
-    ).filter(F.col("__gid").isin(ids))
-    sampled = ranks.sample(fraction=min(1.0, wanted / max(total, 1)), seed=17)
-    size = F.size("ranks")
+    ).filter(F.col("__gid").isin(list(cuts_of)))
+    numbers = F.create_map(*[F.lit(x) for pair in cuts_of.items() for x in pair])
+    cuts, size = F.element_at(numbers, F.col("__gid")), F.size("ranks")
     picked = (
-        sampled.groupBy("__gid")
+        ranks.sample(fraction=min(1.0, wanted / total), seed=17)
+        .groupBy("__gid")
         .agg(F.sort_array(F.collect_list("rank")).alias("ranks"))
         .select(
             "__gid",
             F.array_distinct(
                 F.transform(
-                    F.sequence(F.lit(1), F.lit(cuts)),
+                    F.sequence(F.lit(1), cuts),
                     lambda i: F.element_at(
                         "ranks", F.greatest(F.lit(1), (i * size / (cuts + 1)).cast("int"))
                     ),
@@ -171,4 +185,4 @@ def _cut_points(
     schema = T.StructType(
         [T.StructField("__gid", T.LongType()), T.StructField("__cuts", picked.schema["__cuts"].dataType)]
     )
-    return df.sparkSession.createDataFrame(picked.collect(), schema)
+    return spark.createDataFrame(picked.collect(), schema)
