@@ -10,7 +10,17 @@ from tidemark.operators.merge import merge
 from tidemark.plans.batch import Layout, open_batch, run_batch
 from tidemark.plans import silver
 from tidemark.sources import schemas
-from tidemark.sources.tables import append, empty, publish, read, replace_partitions, settle
+from tidemark.sources.tables import (
+    append,
+    drop,
+    exists,
+    prune,
+    publish,
+    read,
+    replace_partitions,
+    settle,
+    versions,
+)
 from tidemark.streaming.increments import follow_raw, silver_increment
 from workload.common import MARK, application_raw, payment_raw
 
@@ -23,6 +33,18 @@ def test_publish_switches_and_reads_itself(spark, frame):
     assert rows_of(before) == [(1, "a")]
 
 
+def test_old_versions_are_pruned(spark, frame):
+    for n in range(4):
+        publish(frame([(n,)], "n int"), "t_versions")
+    assert len(versions(spark, "t_versions")) == 4
+    prune(spark, "t_versions", keep=1)
+    assert len(versions(spark, "t_versions")) == 1 and rows_of(read(spark, "t_versions")) == [(3,)]
+    with pytest.raises(ValueError):
+        prune(spark, "t_versions", keep=0)
+    drop(spark, "t_versions")
+    assert not exists(spark, "t_versions") and versions(spark, "t_versions") == []
+
+
 def test_partitioned_table_keeps_its_column_order(spark, frame):
     df = frame([("Y", 1), ("N", 2), (None, 3)], "flg string, n int")
     got = publish(df, "t_parts", partition_by=["flg"])
@@ -88,8 +110,8 @@ def state(spark, names):
 def test_batches_end_to_end(spark, folder, buckets):
     applications, payments = application_raw(spark, folder), payment_raw(spark, folder)
     names = layout(f"e2e{buckets}", buckets=buckets)
-    first = run_batch(spark, up_to(applications, MARK[0]), up_to(payments, MARK[0]), "mcd", "2024-02-01 00:00:00", names)
-    second = run_batch(spark, applications, payments, "mcd", "2024-02-02 00:00:00", names)
+    first = run_batch(spark, up_to(applications, MARK[0]), up_to(payments, MARK[0]), "loans", "2024-02-01 00:00:00", names)
+    second = run_batch(spark, applications, payments, "loans", "2024-02-02 00:00:00", names)
     assert (first, second) == ("20240201000000000000000", "20240202000000000000000")
 
     ledger = read(spark, names.ledger)
@@ -112,7 +134,7 @@ def test_batches_end_to_end(spark, folder, buckets):
     assert summary.filter("active_flg = 'N' and (end_ts is null or end_ts < start_ts)").count() == 0
 
     before = state(spark, names)
-    run_batch(spark, applications, payments, "mcd", "2024-02-03 00:00:00", names)
+    run_batch(spark, applications, payments, "loans", "2024-02-03 00:00:00", names)
     assert state(spark, names) == before
 
 
@@ -121,11 +143,11 @@ def test_a_broken_batch_is_taken_up_again(spark, folder):
     applications, payments = application_raw(spark, folder), payment_raw(spark, folder)
     bad = payments.withColumn("raw_json", F.parse_json(F.lit('{"payment_date": "soon"}')))
     with pytest.raises(Exception, match="INVALID_VARIANT_CAST"):
-        run_batch(spark, applications, bad, "mcd", "2024-02-01 00:00:00", names)
-    assert open_batch(spark, names.ledger, "mcd", "2024-02-05 00:00:00") == "20240201000000000000000"
-    assert run_batch(spark, applications, payments, "mcd", "2024-02-02 00:00:00", names) == "20240201000000000000000"
+        run_batch(spark, applications, bad, "loans", "2024-02-01 00:00:00", names)
+    assert open_batch(spark, names.ledger, "loans", "2024-02-05 00:00:00") == "20240201000000000000000"
+    assert run_batch(spark, applications, payments, "loans", "2024-02-02 00:00:00", names) == "20240201000000000000000"
     fresh = layout("whole")
-    run_batch(spark, applications, payments, "mcd", "2024-02-01 00:00:00", fresh)
+    run_batch(spark, applications, payments, "loans", "2024-02-01 00:00:00", fresh)
     assert state(spark, names) == state(spark, fresh)
 
 

@@ -105,7 +105,7 @@ def merge(
     known = eligible.select(*keys)
     if small:
         # Only keys of the increment survive; the table itself is not shuffled.
-        known = known.join(keyed.select(*keys), keys, "left_semi")
+        known = known.join(source.filter(usable).select(*keys), keys, "left_semi")
     else:
         # Map-side distinct folds a repeated key before it moves.
         known = known.filter(usable_key(target, keys, empty_matches)).distinct()

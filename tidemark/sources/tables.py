@@ -9,6 +9,7 @@ the version it was planned on.
 from __future__ import annotations
 
 import re
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -52,7 +53,8 @@ def publish(
     table. ``partition_by`` suits flags and batch ids, which readers filter on.
     """
     spark = df.sparkSession
-    version = f"{_checked(name)}__{uuid.uuid4().hex}"
+    # Names sort by age; the random part keeps two writers apart.
+    version = f"{_checked(name)}__{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
     writer = df.write.format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -64,6 +66,29 @@ def publish(
     return spark.table(name)
 
 
+def versions(spark: SparkSession, name: str) -> list[str]:
+    """The written versions of a table, oldest first; the last one is current."""
+    database, _, table = _checked(name).rpartition(".")
+    found = spark.catalog.listTables(database or None, f"{table}__*")
+    prefix = f"{database}." if database else ""
+    return sorted(f"{prefix}{t.name}" for t in found if t.tableType != "VIEW")
+
+
+def prune(spark: SparkSession, name: str, keep: int = 2) -> None:
+    """Drop all but the newest ``keep`` versions; plans that still read those would fail."""
+    if keep < 1:
+        raise ValueError("the current version stays")
+    for version in versions(spark, name)[:-keep]:
+        spark.sql(f"DROP TABLE {version}")
+
+
+def drop(spark: SparkSession, name: str) -> None:
+    """Drop a table with all its versions."""
+    spark.sql(f"DROP VIEW IF EXISTS {_checked(name)}")
+    for version in versions(spark, name):
+        spark.sql(f"DROP TABLE {version}")
+
+
 def append(df: DataFrame, folder: str) -> None:
     """Add rows to a parquet folder."""
     df.write.mode("append").parquet(folder)

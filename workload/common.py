@@ -20,8 +20,9 @@ def text(column: str):
     return F.col(column).cast("string")
 
 
-def portable(df: DataFrame) -> DataFrame:
-    """Types that read the same from any engine: ids and dates as text, money as double."""
+def portable(df: DataFrame, *counts: str) -> DataFrame:
+    """Types that read the same from any engine: ids and dates as text, money as double,
+    and so the ``counts`` that may be NULL."""
     columns = []
     for field in df.schema.fields:
         column = F.col(field.name)
@@ -29,6 +30,8 @@ def portable(df: DataFrame) -> DataFrame:
             column = column.cast("string")
         elif isinstance(field.dataType, T.DecimalType):
             column = column.cast("double" if field.dataType.scale else "string")
+        elif field.name in counts:
+            column = column.cast("double")
         columns.append(column.alias(field.name))
     return df.select(*columns)
 

@@ -104,7 +104,7 @@ def _orders_history(spark, folder) -> DataFrame:
     orders = table(spark, folder, "orders")
     return orders.select(
         "o_orderkey",
-        F.nullif(F.col("o_custkey"), F.lit(7)).alias("cust_key"),
+        F.nullif(text("o_custkey"), F.lit("7")).alias("cust_key"),
         F.col("o_orderdate").alias("start_ts"),
         F.when(F.col("o_orderstatus") == "O", F.lit("N")).otherwise("Y").alias("active_flg"),
         F.lit("Y").alias("reporting_flg"),
@@ -143,7 +143,7 @@ def delete_soft_by_key(spark, folder):
     """The key is NULL for one customer's orders; they are never deleted."""
     busy = (
         table(spark, folder, "orders")
-        .groupBy("o_custkey")
+        .groupBy(text("o_custkey").alias("o_custkey"))
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") > 10)
     )
@@ -207,7 +207,7 @@ _GONE = f"CAST(c_custkey AS VARCHAR) IN (SELECT pk FROM log WHERE upper(model_id
 
 _ORDERS = """
 t AS (
-  SELECT o_orderkey, nullif(o_custkey, 7) AS cust_key, o_orderdate AS start_ts,
+  SELECT o_orderkey, nullif(CAST(o_custkey AS VARCHAR), '7') AS cust_key, o_orderdate AS start_ts,
          CASE WHEN o_orderstatus = 'O' THEN 'N' ELSE 'Y' END AS active_flg,
          'Y' AS reporting_flg, CAST(NULL AS TIMESTAMP) AS end_ts,
          o_orderdate + INTERVAL 3 DAY AS etl_updt_ts
@@ -239,7 +239,7 @@ WITH {_ORDERS} SELECT * FROM t WHERE o_orderkey NOT IN (SELECT l_orderkey FROM s
     "delete_hard_by_predicate": f"WITH {_ORDERS} SELECT * FROM t WHERE NOT {_MATCH}",
     "delete_soft_by_key": f"""
 WITH {_ORDERS},
-b AS (SELECT o_custkey FROM orders GROUP BY 1 HAVING count(*) > 10)
+b AS (SELECT CAST(o_custkey AS VARCHAR) AS o_custkey FROM orders GROUP BY 1 HAVING count(*) > 10)
 {_soft('t', 'o_orderkey, cust_key, start_ts',
        'coalesce(cust_key IN (SELECT o_custkey FROM b), FALSE)')}""",
     "delete_soft_by_predicate": f"""

@@ -13,6 +13,9 @@ from tidemark.operators import audit as audits
 from tidemark.operators import batches, drift
 from workload.common import BATCH, NOW, portable, table, text
 
+_COUNTED = ("rows_inserted", "rows_updated")
+
+
 def _day():
     return F.date_trunc("day", F.col("ts")).cast("timestamp_ntz").alias("day")
 
@@ -126,18 +129,20 @@ def _models(spark, folder) -> DataFrame:
 
 
 def audit_register(spark, folder):
-    return portable(audits.register_models(_audit(spark, folder), _models(spark, folder)))
+    return portable(
+        audits.register_models(_audit(spark, folder), _models(spark, folder)), *_COUNTED
+    )
 
 
 def audit_start(spark, folder):
     return portable(
-        audits.start_models(_audit(spark, folder), _models(spark, folder), NOW[0])
+        audits.start_models(_audit(spark, folder), _models(spark, folder), NOW[0]), *_COUNTED
     )
 
 
 def audit_reset(spark, folder):
     return portable(
-        audits.reset_models(_audit(spark, folder), _models(spark, folder), NOW[0])
+        audits.reset_models(_audit(spark, folder), _models(spark, folder), NOW[0]), *_COUNTED
     )
 
 
@@ -169,7 +174,7 @@ def load_stats_one_batch(spark, folder):
     loaded = _loaded(spark, folder)
     known = audits.load_stats(loaded, batch_id="1998").withColumn("batch", F.lit("known"))
     none = audits.load_stats(loaded, batch_id="1901").withColumn("batch", F.lit("none"))
-    return known.unionByName(none)
+    return portable(known.unionByName(none), *_COUNTED)
 
 
 def _load_audit(spark, folder) -> DataFrame:
@@ -209,7 +214,9 @@ def audit_complete(spark, folder):
     # A load without newer rows keeps the old mark.
     stale = F.when(F.col("rows_updated") > 20, F.col("new_watermark"))
     stats = stats.withColumn("new_watermark", stale)
-    return portable(audits.complete_models(_load_audit(spark, folder), _named(stats), NOW[1]))
+    return portable(
+        audits.complete_models(_load_audit(spark, folder), _named(stats), NOW[1]), *_COUNTED
+    )
 
 
 def audit_complete_full_reload(spark, folder):
@@ -217,7 +224,8 @@ def audit_complete_full_reload(spark, folder):
     return portable(
         audits.complete_models(
             _load_audit(spark, folder), _named(stats), NOW[1], full_reload=True
-        )
+        ),
+        *_COUNTED,
     )
 
 
@@ -330,8 +338,8 @@ audit AS (
          {_DIGITS.format("CAST(date_trunc('day', ts) AS TIMESTAMP)")} AS batch_id,
          CASE WHEN max(value) > 150 THEN 'running' WHEN max(value) > 15 THEN 'completed' END
            AS model_load_status,
-         CASE WHEN max(value) <= 150 THEN count(*) END AS rows_inserted,
-         CASE WHEN max(value) <= 100 THEN count(*) FILTER (value > 30) END AS rows_updated,
+         CAST(CASE WHEN max(value) <= 150 THEN count(*) END AS DOUBLE) AS rows_inserted,
+         CAST(CASE WHEN max(value) <= 100 THEN count(*) FILTER (value > 30) END AS DOUBLE) AS rows_updated,
          min(ts) AS start_ts, CASE WHEN max(value) <= 150 THEN max(ts) END AS end_ts,
          CAST(NULL AS VARCHAR) AS query_id, CAST(NULL AS VARCHAR) AS query_text
   FROM events GROUP BY event_type, user_id, date_trunc('day', ts)),
@@ -362,8 +370,8 @@ old_rows AS (
   FROM audit a LEFT JOIN models m ON {_ON}),
 new_rows AS (
   SELECT m.model_id, m.model_grp, l.inc_load_ts, m.pipeline_name, m.batch_id,
-         '{status}' AS model_load_status, CAST(NULL AS BIGINT) AS rows_inserted,
-         CAST(NULL AS BIGINT) AS rows_updated, {start} AS start_ts,
+         '{status}' AS model_load_status, CAST(NULL AS DOUBLE) AS rows_inserted,
+         CAST(NULL AS DOUBLE) AS rows_updated, {start} AS start_ts,
          CAST(NULL AS TIMESTAMP) AS end_ts, CAST(NULL AS VARCHAR) AS query_id,
          CAST(NULL AS VARCHAR) AS query_text
   FROM models m LEFT JOIN last_mark l USING (pipeline_name, model_grp, model_id)
@@ -385,6 +393,8 @@ _COUNTS = """max(src_load_ts) AS new_watermark,
   CAST(sum(CASE WHEN etl_load_ts = etl_updt_ts THEN 1 ELSE 0 END) AS BIGINT) AS rows_inserted,
   CAST(sum(CASE WHEN etl_load_ts < etl_updt_ts THEN 1 ELSE 0 END) AS BIGINT) AS rows_updated"""
 
+_MAYBE = _COUNTS.replace("BIGINT", "DOUBLE")
+
 _STARTED_AUDIT = f"""
 audit AS (
   SELECT model_id, batch_id FROM loaded GROUP BY 1, 2
@@ -397,11 +407,11 @@ def _completed(mark: str, inserted: str, updated: str, query: str, statement: st
     columns = [
         hit.format("TIMESTAMP '1994-01-01 00:00:00'", mark, "inc_load_ts"),
         hit.format("'running'", "'completed'", "model_load_status"),
-        hit.format("NULL", inserted, "rows_inserted"),
-        hit.format("NULL", updated, "rows_updated"),
+        f"CAST(CASE WHEN s.model_id IS NOT NULL THEN {inserted} END AS DOUBLE) AS rows_inserted",
+        f"CAST(CASE WHEN s.model_id IS NOT NULL THEN {updated} END AS DOUBLE) AS rows_updated",
         hit.format("NULL", f"TIMESTAMP '{NOW[1]}'", "end_ts"),
-        hit.format("NULL", query, "query_id"),
-        hit.format("NULL", statement, "query_text"),
+        f"CAST(CASE WHEN s.model_id IS NOT NULL THEN {query} END AS VARCHAR) AS query_id",
+        f"CAST(CASE WHEN s.model_id IS NOT NULL THEN {statement} END AS VARCHAR) AS query_text",
     ]
     return f"""
 WITH {_LOADED}, {_STARTED_AUDIT}
@@ -487,13 +497,14 @@ SELECT m.pipeline_name, m.model_grp, m.model_id, m.batch_id,
        coalesce(a.inc_load_ts, TIMESTAMP '1900-01-01 00:00:00') AS inc_load_ts,
        coalesce(a.batch_id, '1900010101') AS recorded_batch_id,
        CASE WHEN a.model_id IS NULL THEN 'none' ELSE a.model_load_status END AS model_load_status,
-       coalesce(a.rows_inserted, 0) AS rows_inserted, coalesce(a.rows_updated, 0) AS rows_updated
+       CAST(coalesce(a.rows_inserted, 0) AS BIGINT) AS rows_inserted,
+       CAST(coalesce(a.rows_updated, 0) AS BIGINT) AS rows_updated
 FROM models m LEFT JOIN audit a ON {_ON}""",
     "load_stats": f"WITH {_LOADED} SELECT batch_id, {_COUNTS} FROM loaded GROUP BY batch_id",
     "load_stats_one_batch": f"""
 WITH {_LOADED}
-SELECT 'known' AS batch, {_COUNTS} FROM loaded WHERE batch_id = '1998'
-UNION ALL SELECT 'none', {_COUNTS} FROM loaded WHERE batch_id = '1901'""",
+SELECT 'known' AS batch, {_MAYBE} FROM loaded WHERE batch_id = '1998'
+UNION ALL SELECT 'none', {_MAYBE} FROM loaded WHERE batch_id = '1901'""",
     "audit_complete": _completed(
         "CASE WHEN s.rows_updated > 20 THEN s.new_watermark "
         "ELSE TIMESTAMP '1994-01-01 00:00:00' END",
