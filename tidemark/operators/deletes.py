@@ -48,7 +48,7 @@ def capture_deletes(
         ["model_id", "pk"],
         [F.desc("src_load_ts"), F.desc("least_significant_position")],
     )
-    rows = latest.drop("least_significant_position").withColumns(
+    rows = settle(latest.drop("least_significant_position")).withColumns(
         {
             "batch_id": batch_number(batch_id),
             "etl_load_ts": moment(now),

@@ -77,7 +77,7 @@ def record_drift(
             "etl_updt_ts": moment(now),
         }
     )
-    groups = settle(checked.select("model_id").distinct()).withColumns(tags)
+    groups = settle(checked.withColumns(tags).select(*DRIFT_KEYS).distinct())
     kept = log.join(groups, DRIFT_KEYS, "left_anti").select(*log.columns)
     return kept.unionByName(rows.select(*log.columns))
 
