@@ -8,14 +8,18 @@ from pyspark.sql import functions as F
 from tests.conftest import rows_of
 from tidemark.operators.merge import merge
 from tidemark.plans.batch import Layout, open_batch, run_batch
+from tidemark.plans.load import load_summary, publish_summary
 from tidemark.plans import silver
 from tidemark.sources import schemas
 from tidemark.sources.tables import (
     append,
     drop,
+    empty,
     exists,
+    parts,
     prune,
     publish,
+    publish_over,
     read,
     replace_partitions,
     settle,
@@ -37,14 +41,81 @@ def test_old_versions_are_pruned(spark, frame):
     for n in range(4):
         publish(frame([(n,)], "n int"), "t_versions")
     assert len(versions(spark, "t_versions")) == 4
-    prune(spark, "t_versions", keep=1)
-    assert len(versions(spark, "t_versions")) == 1 and rows_of(read(spark, "t_versions")) == [(3,)]
+    prune(spark, "t_versions", keep=2)
+    assert len(versions(spark, "t_versions")) == 2
+    prune(spark, "t_versions", keep=0)
+    assert versions(spark, "t_versions") == parts(spark, "t_versions")
+    assert rows_of(read(spark, "t_versions")) == [(3,)]
     with pytest.raises(ValueError):
-        prune(spark, "t_versions", keep=0)
+        prune(spark, "t_versions", keep=-1)
     drop(spark, "t_versions")
     assert not exists(spark, "t_versions") and versions(spark, "t_versions") == []
 
 
+def test_publish_over_keeps_rows_where_they_are(spark, frame):
+    ddl = "k int, flg string"
+    publish(frame([(1, "N"), (2, "Y"), (3, None)], ddl), "t_over", partition_by=["flg"])
+    kept = "flg IS NULL OR flg <> 'Y'"
+    publish_over(frame([(2, "N"), (4, "Y")], ddl), "t_over", kept, partition_by=["flg"])
+    assert rows_of(read(spark, "t_over")) == [(1, "N"), (2, "N"), (3, None), (4, "Y")]
+    publish_over(frame([(4, "N")], ddl), "t_over", kept, partition_by=["flg"])
+    assert rows_of(read(spark, "t_over"), "k") == [(1,), (2,), (3,), (4,)]
+    assert len(parts(spark, "t_over")) == 3
+    prune(spark, "t_over", keep=0)
+    assert read(spark, "t_over").count() == 4
+    # Of older parts only the kept partitions are read.
+    plan = read(spark, "t_over")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [(isnull(flg") == 2
+    publish(read(spark, "t_over"), "t_over")
+    assert len(parts(spark, "t_over")) == 1 and read(spark, "t_over").count() == 4
+
+
+def test_publish_over_remembers_earlier_conditions(spark, frame):
+    ddl = "k int, v int"
+    publish(frame([(1, 0), (2, 0), (3, 0)], ddl), "t_layers")
+    publish_over(frame([(1, 1)], ddl), "t_layers", "k <> 1")
+    publish_over(frame([(2, 2)], ddl), "t_layers", "k <> 2")
+    assert rows_of(read(spark, "t_layers")) == [(1, 1), (2, 2), (3, 0)]
+
+
+def summary_inputs(spark, frame, amount, day):
+    payments = frame(
+        [("p1", "a", "10", day), ("p2", "b", amount, day)],
+        "payment_id string, application_id string, amount string, day string",
+    ).select(
+        "payment_id", "application_id", F.col("day").cast("date").alias("payment_date"),
+        F.col("amount").cast("decimal(18,2)").alias("payment_amount"), F.lit("ok").alias("payment_status"),
+        F.lit("2024-01-01").cast("timestamp_ntz").alias("src_load_ts"),
+    )
+    return payments, empty(spark, schemas.APPLICATION)
+
+
+def test_summary_is_written_whole_only_when_a_closed_version_returns(spark, frame):
+    """b: 1 -> 2 -> 3 -> 1. The last load brings back a closed version."""
+    name, whole = "t_summary", empty(spark, schemas.PAYMENT_SUMMARY)
+    sizes = []
+    for n, amount in enumerate(["1", "2", "3", "1"]):
+        payments, applications = summary_inputs(spark, frame, amount, "2024-01-01")
+        payments = payments.withColumn("src_load_ts", F.col("src_load_ts") + F.make_dt_interval(F.lit(n)))
+        run = {"batch_id": str(n), "now": f"2024-02-0{n + 1}"}
+        publish_summary(spark, name, payments, applications, **run)
+        whole = settle(load_summary(whole, payments, applications, **run))
+        assert rows_of(read(spark, name)) == rows_of(whole)
+        sizes.append(len(parts(spark, name)))
+    assert sizes == [1, 2, 3, 1]
+    got = read(spark, name).filter("application_id = 'b'").orderBy("start_ts")
+    assert [(int(r["total_payments"]), r["active_flg"]) for r in got.collect()] == [(2, "N"), (3, "N"), (1, "Y")]
+
+
+def test_summary_parts_are_bounded(spark, frame):
+    for n in range(5):
+        payments, applications = summary_inputs(spark, frame, str(n), "2024-01-01")
+        payments = payments.withColumn("src_load_ts", F.col("src_load_ts") + F.make_dt_interval(F.lit(n)))
+        publish_summary(spark, "t_bounded", payments, applications, batch_id="1", now="2024-02-01", max_parts=2)
+        assert len(parts(spark, "t_bounded")) <= 2
+    assert read(spark, "t_bounded").count() == 1 + 5
+
+
 def test_partitioned_table_keeps_its_column_order(spark, frame):
     df = frame([("Y", 1), ("N", 2), (None, 3)], "flg string, n int")
     got = publish(df, "t_parts", partition_by=["flg"])

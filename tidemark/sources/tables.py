@@ -52,22 +52,37 @@ def publish(
     ``bucket_by`` lays rows out by key: later merges on that key need no shuffle of the
     table. ``partition_by`` suits flags and batch ids, which readers filter on.
     """
-    spark = df.sparkSession
-    # Names sort by age; the random part keeps two writers apart.
-    version = f"{_checked(name)}__{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
-    writer = df.write.format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    if buckets:
-        writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
-    writer.saveAsTable(version)
-    columns = ", ".join(f"`{c}`" for c in df.columns)
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {version}")
-    return spark.table(name)
+    written = _write(df, name, partition_by, bucket_by, buckets)
+    return _switch(df, name, [f"SELECT {_columns(df)} FROM {written}"])
+
+
+def publish_over(
+    df: DataFrame, name: str, kept: str, *, partition_by: Sequence[str] = ()
+) -> DataFrame:
+    """Switch to ``df`` plus those rows of the current state for which ``kept`` holds.
+
+    Only ``df`` is written; the kept rows stay in the versions they are in. Partitioned by
+    the columns of ``kept``, a version is then read for its kept partitions only.
+    """
+    current = _view_text(df.sparkSession, name)
+    written = _write(df, name, partition_by, (), 0)
+    return _switch(
+        df,
+        name,
+        [
+            f"SELECT {_columns(df)} FROM {written}",
+            f"SELECT {_columns(df)} FROM ({current}) WHERE {kept}",
+        ],
+    )
+
+
+def parts(spark: SparkSession, name: str) -> list[str]:
+    """The written versions that the table's current state reads, newest first."""
+    return re.findall(rf"{re.escape(_checked(name))}__\w+", _view_text(spark, name))
 
 
 def versions(spark: SparkSession, name: str) -> list[str]:
-    """The written versions of a table, oldest first; the last one is current."""
+    """The written versions of a table, oldest first."""
     database, _, table = _checked(name).rpartition(".")
     found = spark.catalog.listTables(database or None, f"{table}__*")
     prefix = f"{database}." if database else ""
@@ -75,11 +90,15 @@ def versions(spark: SparkSession, name: str) -> list[str]:
 
 
 def prune(spark: SparkSession, name: str, keep: int = 2) -> None:
-    """Drop all but the newest ``keep`` versions; plans that still read those would fail."""
-    if keep < 1:
-        raise ValueError("the current version stays")
-    for version in versions(spark, name)[:-keep]:
-        spark.sql(f"DROP TABLE {version}")
+    """Drop versions but the current state's and the newest ``keep``; a plan that was made
+    on a dropped one fails."""
+    if keep < 0:
+        raise ValueError("keep counts versions")
+    current = set(parts(spark, name))
+    written = versions(spark, name)
+    for version in written[: len(written) - keep]:
+        if version not in current:
+            spark.sql(f"DROP TABLE {version}")
 
 
 def drop(spark: SparkSession, name: str) -> None:
@@ -125,6 +144,35 @@ def settle(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def _write(
+    df: DataFrame, name: str, partition_by: Sequence[str], bucket_by: Sequence[str], buckets: int
+) -> str:
+    # Names sort by age; the random part keeps two writers apart.
+    version = f"{_checked(name)}__{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
+    writer = df.write.format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if buckets:
+        writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+    writer.saveAsTable(version)
+    return version
+
+
+def _view_text(spark: SparkSession, name: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {_checked(name)}")
+    return described.filter(F.col("col_name") == "View Text").first()["data_type"]
+
+
+def _switch(df: DataFrame, name: str, selects: list[str]) -> DataFrame:
+    spark = df.sparkSession
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS " + " UNION ALL ".join(selects))
+    return spark.table(name)
+
+
+def _columns(df: DataFrame) -> str:
+    return ", ".join(f"`{c}`" for c in df.columns)
+
+
 def _checked(name: str) -> str:
     if not _NAME.fullmatch(name):
         raise ValueError(f"not a table name: {name!r}")
