@@ -50,7 +50,7 @@ def merge(
         raise ValueError(f"duplicates must be one of {DUPLICATE_POLICIES}")
     columns = target.columns
     source = _conform(source, target)
-    keys = [keys] if isinstance(keys, str) else list(keys or [])
+    keys = _named(target, [keys] if isinstance(keys, str) else list(keys or []))
     if not keys:
         return target.unionByName(source, allowMissingColumns=True)
 
@@ -65,7 +65,7 @@ def merge(
 
     if expressions is None:
         held = {c.lower() for c in exclude}
-        named = columns if update is None else update
+        named = columns if update is None else _named(target, update)
         expressions = {
             c: F.col(f"new.{c}")
             for c in named
@@ -107,14 +107,23 @@ def merge(
         # Only keys of the increment survive; the table itself is not shuffled.
         known = known.join(source.filter(usable).select(*keys), keys, "left_semi")
     else:
-        # Map-side distinct folds a repeated key before it moves.
-        known = known.filter(usable_key(target, keys, empty_matches)).distinct()
-    added = keyed.join(known, keys, "left_anti").unionByName(keyless)
+        known = known.filter(matchable)
+    # The distinct folds a repeated key map-side, before it moves.
+    added = keyed.join(known.distinct(), keys, "left_anti").unionByName(keyless)
 
     merged = updated if bypass is None else updated.unionByName(bypass)
     return merged.unionByName(added, allowMissingColumns=True)
 
 
+def _named(target: DataFrame, names: Sequence[str]) -> list[str]:
+    """The target's own spelling of column names."""
+    spelled = {c.lower(): c for c in target.columns}
+    unknown = [n for n in names if n.lower() not in spelled]
+    if unknown:
+        raise ValueError(f"not in the target: {unknown}")
+    return [spelled[n.lower()] for n in names]
+
+
 def _conform(source: DataFrame, target: DataFrame) -> DataFrame:
     """The source's columns that the target has, in the target's order and types."""
     offered = {c.lower(): c for c in source.columns}
