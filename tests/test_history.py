@@ -11,11 +11,13 @@ from tidemark.operators.history import (
     apply_versions,
     close_intervals,
     close_out,
+    reopened_keys,
     settle_reporting,
     version_columns,
 )
 from tidemark.operators.merge import merge
 from tidemark.operators.neighbours import HotGroups, find_hot_groups, with_neighbour
+from tidemark.sources.tables import publish, settle
 
 DDL = (
     "sk string, seq string, start_ts timestamp_ntz, end_ts timestamp_ntz, "
@@ -161,6 +163,20 @@ def test_new_versions_replace_and_reopen(frame):
     assert loads[("a", "A")] == 1 and loads[("d", "A")] == 9
 
 
+def test_settled_history_is_read_for_its_keys_and_passed_on(spark, frame):
+    rows = [row(f"e{i}", str(j), j, "N" if j < 4 else "Y", "N" if j < 4 else "Y", j + 1) for i in range(20) for j in range(5)]
+    target = publish(frame(rows, DDL), "t_history", partition_by=["active_flg", "reporting_flg"])
+    source = settle(frame([row("e1", "9", 9)], DDL))
+    assert reopened_keys(target, source, "sk", "seq") is None
+    got = apply_versions(target, source, "sk", "seq")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # The settled side of the last union is a bare scan of its own partitions.
+    bulk = plan[plan.rindex("FileScan parquet"):]
+    assert "isnull(active_flg" in bulk
+    assert "Exchange" not in bulk and "Join" not in bulk
+    assert got.count() == 101 and got.filter("active_flg = 'Y'").count() == 20
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     old=st.lists(

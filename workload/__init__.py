@@ -6,7 +6,7 @@ the same result in SQL). Input frames are projections of whole test tables.
 
 from workload import deletes, ledgers, merges, quality, silver_gold, sinks, texts
 
-MODULES = (silver_gold, texts, merges, deletes, ledgers, quality, sinks)
+MODULES = (texts, merges, deletes, ledgers, quality, sinks, silver_gold)
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 SQL = {name: sql for module in MODULES for name, sql in module.SQL.items()}
