@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import exact
+from tidemark.llm import exact, language, simhash
 from tidemark.llm.frames import documents
 
 QUERIES, SQL = {}, {}
@@ -28,3 +29,19 @@ SELECT doc_id,
   sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
+
+
+@_query
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    found = language.identify(documents(spark, folder))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@_query
+def op5_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.clusters(documents(spark, folder), shingle=4, max_bits=4)
+    return found.select(
+        "doc_id",
+        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        "component_id",
+    )
