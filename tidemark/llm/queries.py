@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact, language, simhash
+from tidemark.llm import exact, language, pii, simhash
 from tidemark.llm.frames import documents
 
 QUERIES, SQL = {}, {}
@@ -45,3 +45,8 @@ def op5_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id",
     )
+
+
+@_query
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digest(pii.find(documents(spark, folder)))
