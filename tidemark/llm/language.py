@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.words import Words, chunks, mixed, spread, words
@@ -15,6 +15,8 @@ from tidemark.llm.words import Words, chunks, mixed, spread, words
 #: Bounds of the training sample: documents a language, documents in all, word runs of a
 #: document and words of a run. Prediction has no such bound.
 PER_LANGUAGE, SAMPLE, RUNS, RUN_WORDS = 600, 4000, 6, 32
+#: Parts that a language's ids are ranked in before they are ranked together.
+SALTS = 64
 #: Hashed features, and steps of the fit.
 BUCKETS, STEPS = 1 << 17, 30
 #: A word of the sample enters the lexicon from this many occurrences on.
@@ -262,20 +264,17 @@ def _runs(model: Model, texts: list[str | None]) -> Iterator[list[dict]]:
 def train(labelled: DataFrame, id_column: str, text_column: str, lang_column: str) -> Model:
     """Fit on a bounded sample: at most PER_LANGUAGE documents a language and SAMPLE in all,
     the first by hash of the id; of each, RUNS runs of RUN_WORDS words spread over the text."""
-    from pyspark.sql import Window
-
     rank = F.xxhash64(F.col(id_column).cast("string"))
-    order = Window.partitionBy(lang_column).orderBy(rank, id_column)
     ids = (
         labelled.select(id_column, lang_column)
         .filter(F.col(lang_column).isNotNull() & F.col(id_column).isNotNull())
-        .withColumn("place", F.row_number().over(order))
-        .filter(F.col("place") <= PER_LANGUAGE)
-        .orderBy("place", rank)
-        .limit(SAMPLE)
-        .select(id_column)
-        .distinct()
+        .withColumns({"rank": rank, "salt": F.pmod(rank, F.lit(SALTS))})
     )
+    # First within salts, so that no task sees more of a frequent language than their share.
+    for keys in ([lang_column, "salt"], [lang_column]):
+        order = Window.partitionBy(*keys).orderBy("rank", id_column)
+        ids = ids.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= PER_LANGUAGE)
+    ids = ids.orderBy("place", "rank").limit(SAMPLE).select(id_column).distinct()
     texts = labelled.select(id_column, text_column, lang_column).join(
         F.broadcast(ids), id_column, "left_semi"
     )
