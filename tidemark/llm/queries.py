@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact, language, pii, simhash
-from tidemark.llm.frames import documents
+from tidemark.llm import counts, exact, language, packing, pii, simhash
+from tidemark.llm.frames import documents, tokenizer_file
 
 QUERIES, SQL = {}, {}
 
@@ -50,3 +50,14 @@ def op5_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digest(pii.find(documents(spark, folder)))
+
+
+@_query
+def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(documents(spark, folder), tokenizer_file("word_bpe_49k.json"), capacity=2048)
+
+
+@_query
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    counted = counts.count_tokens(documents(spark, folder), tokenizer_file("byte_bpe_50k.json"), limit=1024)
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
