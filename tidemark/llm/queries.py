@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import counts, exact, language, packing, pii, simhash
+from tidemark.llm import counts, exact, language, merkle, packing, pii, simhash, urls
 from tidemark.llm.frames import documents, tokenizer_file
 
 QUERIES, SQL = {}, {}
@@ -61,3 +61,128 @@ def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counted = counts.count_tokens(documents(spark, folder), tokenizer_file("byte_bpe_50k.json"), limit=1024)
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def _list_entries(pages: DataFrame) -> DataFrame:
+    """A dated list about the hosts of ``pages``, their domains and their first path segments:
+    each is listed, some are taken off and listed again, on days that its name decides."""
+    where, parts = urls.host(F.col("url")), urls.segments(F.col("url"))
+    names = pages.select(
+        F.explode(
+            F.array(
+                where,
+                F.substring_index(where, ".", -2),
+                F.when(F.size(parts) > 0, F.concat(where, F.lit("/"), F.element_at(parts, 1))),
+            )
+        ).alias("key")
+    )
+    names = names.filter("key IS NOT NULL").distinct().withColumn("m", F.md5("key"))
+    letter = [F.ascii(F.substring("m", i, 1)) for i in range(1, 8)]
+    first = (letter[0] * 31 + letter[1]) % 300
+    return names.select(
+        "key",
+        F.explode(
+            F.array(
+                *[
+                    F.struct(
+                        F.date_add(F.lit("2024-01-01").cast("date"), day).alias("since"), verdict.alias("verdict")
+                    )
+                    for day, verdict in (
+                        (first, F.when(letter[2] % 3 == 0, "allow").otherwise("block")),
+                        (first + 1 + letter[3] % 60, F.lit("remove")),
+                        (first + 1 + letter[3] % 60 + letter[4] % 40, F.when(letter[5] % 2 == 0, "allow").otherwise("block")),
+                    )
+                ]
+            )
+        ).alias("entry"),
+    ).select("key", "entry.*")
+
+
+@_query
+def op1_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    pages = spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.pmod("page_id", F.lit(366))).cast("int"))
+    judged = urls.evaluate(pages.withColumn("fetched_on", day), _list_entries(pages))
+    dates = {c: F.col(c).cast("string") for c in ("fetched_on", "since", "until")}
+    return judged.withColumns(dates)
+
+
+SQL["op1_url_filters"] = """
+WITH captures AS (
+  SELECT page_id, url, DATE '2024-01-01' + CAST(((page_id % 366) + 366) % 366 AS INTEGER) AS fetched_on,
+    nullif(rtrim(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '.'), '') AS host,
+    list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1), '/'), lambda s: s <> '') AS parts
+  FROM pages),
+names AS (
+  SELECT DISTINCT key, md5(key) AS m FROM (
+    SELECT host AS key FROM captures
+    UNION SELECT array_to_string(string_split(host, '.')[-2:], '.') FROM captures
+    UNION SELECT host || '/' || parts[1] FROM captures WHERE len(parts) > 0)
+  WHERE key IS NOT NULL),
+days AS (
+  SELECT key, (ascii(m[1]) * 31 + ascii(m[2])) % 300 AS first, 1 + ascii(m[4]) % 60 AS held, ascii(m[5]) % 40 AS off,
+    CASE WHEN ascii(m[3]) % 3 = 0 THEN 'allow' ELSE 'block' END AS one,
+    CASE WHEN ascii(m[6]) % 2 = 0 THEN 'allow' ELSE 'block' END AS two
+  FROM names),
+entries AS (
+  SELECT key, DATE '2024-01-01' + CAST(first AS INTEGER) AS since, one AS verdict FROM days
+  UNION ALL SELECT key, DATE '2024-01-01' + CAST(first + held AS INTEGER), 'remove' FROM days
+  UNION ALL SELECT key, DATE '2024-01-01' + CAST(first + held + off AS INTEGER), two FROM days),
+daily AS (
+  SELECT key, since, max(CASE verdict WHEN 'block' THEN 3 WHEN 'allow' THEN 2 ELSE 1 END) AS o
+  FROM entries GROUP BY ALL),
+rules AS (
+  SELECT key, since, lead(since) OVER (PARTITION BY key ORDER BY since) AS until,
+    CASE o WHEN 3 THEN 'block' WHEN 2 THEN 'allow' ELSE 'remove' END AS verdict
+  FROM daily),
+hits AS (
+  SELECT c.page_id, c.url, c.fetched_on, r.*, row_number() OVER (
+    PARTITION BY c.page_id, c.url, c.fetched_on ORDER BY contains(r.key, '/') DESC, length(r.key) DESC) AS place
+  FROM captures c JOIN rules r
+    ON r.verdict <> 'remove' AND c.fetched_on >= r.since AND (r.until IS NULL OR c.fetched_on < r.until)
+    AND (r.key = c.host OR ends_with(c.host, '.' || r.key) OR (len(c.parts) > 0 AND r.key = c.host || '/' || c.parts[1])))
+SELECT c.page_id, c.url, CAST(c.fetched_on AS VARCHAR) AS fetched_on, coalesce(h.verdict, 'none') AS verdict,
+  h.key AS matched, CAST(h.since AS VARCHAR) AS since, CAST(h.until AS VARCHAR) AS until
+FROM captures c LEFT JOIN hits h
+  ON h.place = 1 AND h.page_id = c.page_id AND h.url = c.url AND h.fetched_on = c.fetched_on
+"""
+
+
+@_query
+def op4_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.edited_pairs(documents(spark, folder))
+
+
+SQL["op4_document_fingerprints"] = """
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+pairs AS (
+  SELECT doc_id, text, length(text) // 2 AS half,
+    coalesce(lead(text) OVER (ORDER BY doc_id DESC), first_value(text) OVER (ORDER BY doc_id DESC)) AS other
+  FROM texts),
+edited AS (
+  SELECT doc_id, text, other, left(text, length(text) - half) || left(other, half) AS changed FROM pairs),
+long AS (
+  SELECT doc_id, 1 AS k, text AS t FROM edited UNION ALL SELECT doc_id, 2, changed FROM edited
+  UNION ALL SELECT doc_id, 3, other FROM edited),
+trees AS (
+  SELECT doc_id, k, list_transform(string_split(t, chr(10) || chr(10)), lambda s:
+    list_transform(string_split(s, chr(10)), lambda p:
+      list_transform(string_split(p, '. '), lambda x: sha256(x)))) AS leaves
+  FROM long),
+above AS (
+  SELECT *, list_transform(leaves, lambda s: list_transform(s, lambda p: sha256(array_to_string(p, ',')))) AS paragraphs
+  FROM trees),
+higher AS (SELECT *, list_transform(paragraphs, lambda s: sha256(array_to_string(s, ','))) AS sections FROM above),
+roots AS (SELECT *, sha256(array_to_string(sections, ',')) AS root FROM higher),
+marks AS (
+  SELECT doc_id, k, root, list_transform(
+    list_concat([root], sections, flatten(paragraphs), flatten(flatten(leaves))), lambda n: left(n, 8)) AS nodes
+  FROM roots),
+prints AS (SELECT doc_id, k, root || ':' || array_to_string(nodes, '') AS mark, list_distinct(nodes) AS nodes FROM marks)
+SELECT e.doc_id, length(e.text) AS n_chars, sha256(e.changed) AS edited_sha256,
+  a.mark AS fingerprint, b.mark AS edited_fingerprint,
+  CASE WHEN a.mark = b.mark THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * len(list_intersect(a.nodes, b.nodes)) / (len(a.nodes) + len(b.nodes)) END AS near_edited,
+  CASE WHEN a.mark = c.mark THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * len(list_intersect(a.nodes, c.nodes)) / (len(a.nodes) + len(c.nodes)) END AS near_next
+FROM edited e JOIN prints a ON a.doc_id = e.doc_id AND a.k = 1
+  JOIN prints b ON b.doc_id = e.doc_id AND b.k = 2 JOIN prints c ON c.doc_id = e.doc_id AND c.k = 3
+"""
