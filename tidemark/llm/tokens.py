@@ -54,7 +54,8 @@ class Cache:
     """What the library gave for pieces, in two generations: what the older one holds and is
     asked for again moves to the newer; the rest goes when that is full."""
 
-    def __init__(self) -> None:
+    def __init__(self, at_once: int = 10_000) -> None:
+        self.at_once = at_once
         self.new: dict[str, Any] = {}
         self.old: dict[str, Any] = {}
 
@@ -70,8 +71,8 @@ class Cache:
                 self.new[piece] = old[piece]
             else:
                 ask.append(piece)
-        for i in range(0, len(ask), 10_000):
-            part = ask[i : i + 10_000]
+        for i in range(0, len(ask), self.at_once):
+            part = ask[i : i + self.at_once]
             self.new.update(zip(part, encode(part)))
         return self.new
 
