@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import counts, exact, language, merkle, packing, pii, simhash, urls
+from tidemark.llm import counts, exact, language, merkle, packing, pieces, pii, quality, simhash, urls
 from tidemark.llm.frames import documents, tokenizer_file
 
 QUERIES, SQL = {}, {}
@@ -186,3 +186,28 @@ SELECT e.doc_id, length(e.text) AS n_chars, sha256(e.changed) AS edited_sha256,
 FROM edited e JOIN prints a ON a.doc_id = e.doc_id AND a.k = 1
   JOIN prints b ON b.doc_id = e.doc_id AND b.k = 2 JOIN prints c ON c.doc_id = e.doc_id AND c.k = 3
 """
+
+
+@_query
+def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every text, their digest, and whether decoding gives the text back (a space mark
+    in a text is a space)."""
+    model = tokenizer_file("piece_bpe_32k.model")
+    encoded = documents(spark, folder).select("doc_id", "text", pieces.encode(model).alias("ids"))
+    decoded = encoded.withColumns({"crc": pieces.ids_crc32(), "back": pieces.decode(model)})
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_ids"),
+        F.col("crc").alias("ids_crc32"),
+        F.sha2(F.col("back").cast("binary"), 256).alias("decoded_sha256"),
+        (F.col("back") == F.translate(F.coalesce("text", F.lit("")), pieces.SPACE, " ")).alias("round_trip"),
+    )
+
+
+@_query
+def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Grades 0 to 2: a point for good quality, and one for not being toxic."""
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    rating = F.col("quality") + 1 - F.col("toxic")
+    graded = quality.grade(documents(spark, folder), labels, rating)
+    return graded.select("doc_id", "expected_grade", "p_top", "selected")

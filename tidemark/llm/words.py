@@ -54,7 +54,8 @@ def chunks(texts: Sequence[str | None]) -> Iterator[tuple[int, int]]:
 
 @dataclass
 class Words:
-    codes: np.ndarray  # lower-cased code points of all texts, one separator after each
+    raw: np.ndarray  # code points of all texts, one separator after each
+    codes: np.ndarray  # the same in lower case
     offset: np.ndarray  # where each text begins in codes
     start: np.ndarray  # of each word, in codes
     size: np.ndarray
@@ -91,7 +92,7 @@ def words(texts: Sequence[str | None]) -> Words:
     start = np.flatnonzero(edge == 1)
     size = np.flatnonzero(edge == -1) - start
     doc = np.searchsorted(offset, start, side="right") - 1
-    return Words(lower[codes], offset[:-1], start, size, doc)
+    return Words(codes, lower[codes], offset[:-1], start, size, doc)
 
 
 def spread(start: np.ndarray, count: np.ndarray) -> np.ndarray:
