@@ -33,8 +33,9 @@ def frequent_lengths(
             for text in batch["text"]:
                 if text and plain(text):
                     counts.update(p for p in byte_pieces(text) if len(p) <= 32)
-        top = counts.most_common(REPORTED)
-        yield pd.DataFrame({"piece": [p for p, _ in top], "n": [n for _, n in top]})
+        if counts:
+            pieces, numbers = zip(*counts.most_common(REPORTED))
+            yield pd.DataFrame({"piece": pieces, "n": numbers})
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         library = tokenizer(place)[1]
