@@ -15,7 +15,7 @@ from tidemark.llm.tokens import word_ids
 
 #: Sequences' worth of tokens that a partition packs, and partitions that exchange documents.
 PARTITION_SEQUENCES, EXCHANGE = 512, 16
-#: Sequences that a partition offers for exchange, at most.
+#: Sequences that a partition above its bound offers for exchange, at most; others a quarter.
 OFFERED = 128
 #: Values of k that the bound by rounding tries.
 ROUNDINGS = 40
@@ -50,7 +50,7 @@ def pieces_of(
                     if with_ids:
                         ids.append(np.frombuffer(part, "<u4").astype(np.int32))
             out = {
-                "id": batch["id"].iloc[row].reset_index(drop=True),
+                "id": pd.Series(batch["id"].to_numpy(object)[row], dtype=object),
                 "piece": np.array(piece, np.int32),
                 "start": np.array(start, np.int64),
                 "length": np.array(length, np.int64),
@@ -58,9 +58,13 @@ def pieces_of(
             }
             yield pd.DataFrame(out | ({"ids": pd.Series(ids, dtype=object)} if with_ids else {}))
 
-    rows = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").alias("text"))
-    schema = f"id {source}, piece int, start long, length long, ids_crc32 long"
-    return rows.mapInPandas(cut, schema + (", ids array<int>" if with_ids else ""))
+    # As text, an id keeps all digits beside nulls.
+    rows = docs.select(
+        F.col(f"`{id_column}`").cast("string").alias("id"), F.col(f"`{text_column}`").alias("text")
+    )
+    schema = "id string, piece int, start long, length long, ids_crc32 long"
+    pieces = rows.mapInPandas(cut, schema + (", ids array<int>" if with_ids else ""))
+    return pieces.withColumn("id", F.col("id").cast(source))
 
 
 def lower_bound(sizes: np.ndarray, capacity: int) -> int:
@@ -139,12 +143,9 @@ def _packed(group: pd.DataFrame, capacity: int) -> pd.DataFrame:
         bins, names = old_bin, old
     fill = np.bincount(bins, sizes).astype(np.int64)
     gap = len(fill) - lower_bound(sizes, capacity)
-    # Enough free space to save what the bound leaves open and one more by exchange.
-    order = np.argsort(fill, kind="stable")
-    room = np.cumsum(capacity - fill[order])
+    # The emptiest sequences, more of them where the bound says that some can be saved here.
     offered = np.zeros(len(fill), bool)
-    count = int(np.searchsorted(room, (2 * gap + 1) * capacity)) + 1
-    offered[order[: min(count, OFFERED)]] = True
+    offered[np.argsort(fill, kind="stable")[: OFFERED if gap else OFFERED // 4]] = True
     offered &= fill < capacity
     return pd.DataFrame(
         {
@@ -173,8 +174,7 @@ def pack(
     Returns per piece id, piece, start, length, ids_crc32, sequence_id, offset (gapless from 0
     within a sequence) and with ``with_ids`` the ids. Pieces are dealt evenly to partitions,
     which pack by best fit decreasing and compare with a lower bound. Each then offers its
-    emptiest sequences, more of them the further it is from its bound; sixteen partitions'
-    offers are packed together, and so on until one partition is left. A new packing replaces
+    emptiest sequences, more of them where it is above its bound; sixteen partitions' offers are packed together, and so on until one partition is left. A new packing replaces
     the old one only if it is smaller. A null text is a document of the end id alone; equal
     rows are packed each; an empty table gives no rows.
     """
