@@ -46,8 +46,8 @@ def state(df):
 
 def all_hot(df, group):
     """Every group of a small frame declared hot."""
-    ids = [r[0] for r in df.select(F.xxhash64(*group)).distinct().collect()]
-    return HotGroups(tuple(group), tuple((i, 100) for i in ids))
+    groups = df.groupBy(F.xxhash64(*group).alias("gid")).agg(F.count(F.lit(1)).alias("n"))
+    return HotGroups(tuple(group), groups, df.count())
 
 
 def test_active_rows_end_where_the_next_starts(frame):
@@ -138,9 +138,35 @@ def test_hot_entity_closes_like_any_other(spark, frame):
 
 def test_hot_groups_are_found(spark):
     df = spark.range(5000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("g"))
-    found = find_hot_groups(df, ["g"], min_rows=1000, search_from_bytes=0)
-    assert [count for _, count in found.counts] == [1668]
-    assert not find_hot_groups(df, ["g"])
+    found = find_hot_groups(df, ["g"], 1000)
+    assert [r["n"] for r in found.groups.collect()] == [1668] and found.rows == 1668
+    assert not find_hot_groups(df, ["g"], 2000) and not find_hot_groups(df, ["g"], 6000)
+
+
+def test_every_hot_group_is_found_and_cut(spark, monkeypatch):
+    """Hundreds of hot groups, and ranges that follow the number of rows."""
+    df = spark.range(40_000).select((F.col("id") % 300).alias("g"), F.col("id").alias("o"))
+    found = find_hot_groups(df, ["g"], 100)
+    assert found.groups.count() == 300 and found.rows == 40_000
+    cut = []
+    monkeypatch.setattr(neighbours, "settle", lambda d: cut.append(settle(d)) or cut[-1])
+    got = with_neighbour(df, ["g"], ["o"], {"next": "o"}, hot=found, slice_rows=500)
+    assert got.filter("next <> o + 300").count() == 0 and got.filter("next IS NULL").count() == 300
+    sizes = cut[-1].groupBy("__slice").count().agg(F.max("count"), F.count("*")).first()
+    assert sizes[0] < 2500 and sizes[1] > 40
+
+
+def test_one_key_in_a_small_file_is_cut(spark, monkeypatch):
+    """Size on disk says nothing about the rows of a key: these compress to almost nothing."""
+    df = settle(spark.range(300_000).select(F.lit(1).alias("g"), F.col("id").alias("o")))
+    monkeypatch.setattr(neighbours, "GROUP_BYTES", 2**20)
+    found = find_hot_groups(df.select("g"), ["g"], neighbours.group_rows(df))
+    assert found.rows == 300_000
+    cut = []
+    monkeypatch.setattr(neighbours, "settle", lambda d: cut.append(settle(d)) or cut[-1])
+    got = with_neighbour(df, ["g"], ["o"], {"next": "o"}, hot=found)
+    assert got.filter("next = o + 1").count() == 299_999
+    assert cut[-1].groupBy("__slice").count().agg(F.max("count")).first()[0] < 150_000
 
 
 def test_new_versions_replace_and_reopen(frame):
@@ -202,24 +228,16 @@ def test_apply_versions_finds_hot_entities(frame, monkeypatch):
     plain = apply_versions(target, source, "sk", "seq")
     import tidemark.operators.history as history
 
-    seen, cuts = [], []
-    make_cuts = neighbours._cut_points
+    seen = []
 
-    def cut(df, order, hot, slice_rows):
-        cuts.append(make_cuts(df, order, hot, 4))
-        return cuts[-1]
-
-    monkeypatch.setattr(neighbours, "_cut_points", cut)
-
-    def find(df, group):
-        found = find_hot_groups(df, group, min_rows=20, search_from_bytes=0)
-        seen.append(found.counts)
-        return found
+    def find(df, group, min_rows):
+        seen.append(find_hot_groups(df, group, 20))
+        return seen[-1]
 
     monkeypatch.setattr(history, "find_hot_groups", find)
+    monkeypatch.setattr(neighbours, "GROUP_BYTES", 1000)
     assert rows_of(apply_versions(target, source, "sk", "seq")) == rows_of(plain)
-    assert seen[0][0][1] == 50
-    assert len(cuts[0].first()["__cuts"]) > 5
+    assert seen[0].rows == 50
 
 
 def test_version_columns(frame):

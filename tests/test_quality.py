@@ -119,7 +119,7 @@ def test_unchanged_versions(frame, monkeypatch, hot):
 
         monkeypatch.setattr(
             rules, "find_hot_groups",
-            lambda df, g: neighbours.find_hot_groups(df, g, min_rows=1, search_from_bytes=0),
+            lambda df, g, n: neighbours.find_hot_groups(df, g, 1),
         )
     history = frame(
         [("a", 1, "x"), ("a", 2, "x"), ("a", 3, "y"), ("a", 4, None), ("a", 5, None), ("b", 1, "y"), ("b", 2, "x")],

@@ -1,9 +1,9 @@
 """The next or previous value within a group, also when one group is very large.
 
-A window runs each group in one task. That is right for ordinary groups. For a group
-with a large share of all rows, the order is cut into slices: the window runs per
-slice, and the few values at the slice edges are stitched by a small broadcast join.
-The cuts decide only how work is spread, never the result.
+A window runs each group in one task. That is right for ordinary groups. Rows of a group
+that would not fit a task are dealt out by ranges of group and order instead: the window
+runs per range, and the values at the ranges' edges are joined on. The ranges decide only
+how work is spread, never the result.
 """
 
 from __future__ import annotations
@@ -13,60 +13,46 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from tidemark.operators.sizing import input_bytes
+from tidemark.operators.sizing import row_bytes
+from tidemark.sources.tables import settle
 
-# A group is worth slicing when it is past this many rows.
-HOT_GROUP_ROWS = 5_000_000
-# Inputs below this size cannot hold such a group, so they are not searched.
-SEARCH_FROM_BYTES = 256 * 2**20
-# A slice aims at this many rows.
-SLICE_ROWS = 2_000_000
-# Bounds for what reaches the driver: hot groups, and cut points per group (a power of
-# two less one, for the search below).
-MAX_HOT_GROUPS = 64
-MAX_CUTS = 1023
+# What the rows of one group may take up in one task, by the size that their types have as
+# a rule. Larger groups are cut into ranges of about half of it.
+GROUP_BYTES = 512 * 2**20
 
 
 @dataclass(frozen=True)
 class HotGroups:
-    """Hot groups of one input: the columns that name a group, and (hash, row count) of
-    at most MAX_HOT_GROUPS of them."""
+    """Groups that are too large for a task: the columns that name a group, the groups as
+    (gid, n), and their number of rows. However many there are, all are in."""
 
     columns: tuple[str, ...]
-    counts: tuple[tuple[int, int], ...]
+    groups: DataFrame | None
+    rows: int
 
     def __bool__(self) -> bool:
-        return bool(self.counts)
+        return self.rows > 0
 
 
-def find_hot_groups(
-    df: DataFrame,
-    group: Sequence[str],
-    min_rows: int = HOT_GROUP_ROWS,
-    search_from_bytes: int = SEARCH_FROM_BYTES,
-) -> HotGroups:
-    """Groups past ``min_rows``, by one pass over the group columns with a top-k sketch.
+def group_rows(df: DataFrame) -> int:
+    """How many rows like those of ``df`` a group may have."""
+    return max(1, GROUP_BYTES // row_bytes(df))
+
 
-    The sketch merges map-side, so nothing is shuffled by key. It is approximate, which
-    is enough: a missed group is still right, only not sliced.
+def find_hot_groups(df: DataFrame, group: Sequence[str], min_rows: int) -> HotGroups:
+    """All groups of at least ``min_rows``.
+
+    An input with fewer rows than that has none, which a count tells. Otherwise groups are
+    counted by a hash of their columns, map-side first; two groups of one hash count as one,
+    which may cut a group that did not need it.
     """
-    size = input_bytes(df)
-    if size is not None and size < search_from_bytes:
-        return HotGroups(tuple(group), ())
-    sketch = df.agg(
-        F.call_function(
-            "approx_top_k", F.xxhash64(*group), F.lit(MAX_HOT_GROUPS), F.lit(10_000)
-        ).alias("top")
-    )
-    rows = (
-        sketch.select(F.inline("top"))
-        .filter(F.col("count") >= F.lit(min_rows))
-        .collect()
-    )
-    return HotGroups(tuple(group), tuple((row["item"], row["count"]) for row in rows))
+    if df.count() < min_rows:
+        return HotGroups(tuple(group), None, 0)
+    counts = df.groupBy(F.xxhash64(*group).alias("gid")).agg(F.count(F.lit(1)).alias("n"))
+    groups = settle(counts.filter(F.col("n") >= min_rows))
+    return HotGroups(tuple(group), groups, groups.agg(F.sum("n")).first()[0] or 0)
 
 
 def with_neighbour(
@@ -78,46 +64,49 @@ def with_neighbour(
     back: bool = False,
     hot: HotGroups | None = None,
     among: Column | None = None,
-    slice_rows: int = SLICE_ROWS,
+    slice_rows: int | None = None,
 ) -> DataFrame:
     """Add the next row's values (or the previous row's, ``back``) in the group's order.
 
     ``values`` maps a new column to the column it is read from. ``order`` must be a total
     order within the group for a result that does not depend on the run. ``hot`` names
-    groups to slice, by some of the ``group`` columns; ``among`` limits that to the rows
-    whose groups can be large at all.
+    groups to cut, by some of the ``group`` columns; ``among`` limits that to the rows
+    whose groups can be large at all. ``slice_rows`` is what a range aims at.
     """
     step = F.lag if back else F.lead
-    if not hot:
+
+    def windowed(rows: DataFrame) -> DataFrame:
         window = Window.partitionBy(*group).orderBy(*order)
-        return df.withColumns({new: step(old).over(window) for new, old in values.items()})
+        return rows.withColumns({new: step(old).over(window) for new, old in values.items()})
 
-    among = F.lit(True) if among is None else among
-    cuts = _cut_points(df.filter(among), order, hot, slice_rows)
-    rank = F.struct(*[F.col(c) for c in order])
-    sliced = (
-        df.withColumn("__gid", F.when(among, F.xxhash64(*hot.columns)))
-        .join(F.broadcast(cuts), "__gid", "left")
-        .withColumn("__slice", _count_up_to(F.col("__cuts"), rank))
-        .withColumn("__hot", F.col("__cuts").isNotNull())
-        .drop("__cuts")
+    if not hot:
+        return windowed(df)
+
+    gid = F.xxhash64(*hot.columns)
+    marked = df.withColumn("__gid", gid if among is None else F.when(among, gid))
+    names = hot.groups.select(F.col("gid").alias("__gid"))
+    columns = [*df.columns, *values]
+    ordinary = windowed(marked.join(names, "__gid", "left_anti")).select(*columns)
+
+    # Written with the number of the range, so that every later step sees the same ranges.
+    ranges = -(-hot.rows // (slice_rows or max(1, group_rows(df) // 2)))
+    large = marked.join(names, "__gid", "left_semi").select(*df.columns)
+    sliced = settle(
+        large.repartitionByRange(ranges, *group, *order).withColumn("__slice", F.spark_partition_id())
     )
-    # The row a neighbouring slice looks at: its first one, or its last one going back.
+    # The row a neighbouring range looks at: its first one, or its last one going back.
     edge_of = F.max_by if back else F.min_by
+    rank = F.struct(*[F.col(c) for c in order])
     carried = F.struct(*[F.col(old).alias(new) for new, old in values.items()])
-    edges = (
-        sliced.filter("__hot")
-        .groupBy(*group, "__gid", "__slice")
-        .agg(edge_of(carried, rank).alias("__edge"))
-    )
+    edges = sliced.groupBy(*group, "__slice").agg(edge_of(carried, rank).alias("__edge"))
+    # A group has as many rows here as it has ranges.
     across = Window.partitionBy(*group).orderBy("__slice")
     edges = edges.select(
         *[F.col(c).alias(f"__g{i}") for i, c in enumerate(group)],
-        F.col("__gid").alias("__egid"),
         F.col("__slice").alias("__eslice"),
         step("__edge").over(across).alias("__edge"),
     )
-    same = (F.col("__gid") == F.col("__egid")) & (F.col("__slice") == F.col("__eslice"))
+    same = F.col("__slice") == F.col("__eslice")
     for i, c in enumerate(group):
         same = same & F.col(c).eqNullSafe(F.col(f"__g{i}"))
 
@@ -128,61 +117,11 @@ def with_neighbour(
             "__inner": step(F.lit(True)).over(inside),
         }
     )
-    # One edge row per hot group and slice: at most MAX_HOT_GROUPS * (MAX_CUTS + 1).
-    joined = stepped.join(F.broadcast(edges), same, "left")
-    return joined.select(
+    joined = stepped.join(edges, same, "left").select(
         *df.columns,
         *[
-            F.when(F.col("__inner") | ~F.col("__hot"), F.col(f"__in_{new}"))
-            .otherwise(F.col(f"__edge.{new}"))
-            .alias(new)
+            F.when(F.col("__inner"), F.col(f"__in_{new}")).otherwise(F.col(f"__edge.{new}")).alias(new)
             for new in values
         ],
     )
-
-
-def _count_up_to(cuts: Column, rank: Column) -> Column:
-    """How many of the sorted cuts are not above ``rank``, by halving steps; 0 without cuts."""
-    steps = F.array(*[F.lit(2**i) for i in reversed(range(MAX_CUTS.bit_length()))])
-    return F.aggregate(
-        steps,
-        F.lit(0),
-        lambda count, step: count
-        + F.when(F.get(cuts, count + step - 1) <= rank, step).otherwise(F.lit(0)),
-    )
-
-
-def _cut_points(
-    df: DataFrame, order: Sequence[str], hot: HotGroups, slice_rows: int
-) -> DataFrame:
-    """(group hash, sorted cut structs) from a sample; fixed on the driver for one plan."""
-    spark = df.sparkSession
-    cuts_of = {item: min(MAX_CUTS, max(1, count // slice_rows)) for item, count in hot.counts}
-    # About 40 sampled rows between two cuts.
-    wanted = 40 * sum(cuts + 1 for cuts in cuts_of.values())
-    total = max(1, sum(count for _, count in hot.counts))
-    ranks = df.select(
-        F.xxhash64(*hot.columns).alias("__gid"), F.struct(*[F.col(c) for c in order]).alias("rank")
-    ).filter(F.col("__gid").isin(list(cuts_of)))
-    numbers = F.create_map(*[F.lit(x) for pair in cuts_of.items() for x in pair])
-    cuts, size = F.element_at(numbers, F.col("__gid")), F.size("ranks")
-    picked = (
-        ranks.sample(fraction=min(1.0, wanted / total), seed=17)
-        .groupBy("__gid")
-        .agg(F.sort_array(F.collect_list("rank")).alias("ranks"))
-        .select(
-            "__gid",
-            F.array_distinct(
-                F.transform(
-                    F.sequence(F.lit(1), cuts),
-                    lambda i: F.element_at(
-                        "ranks", F.greatest(F.lit(1), (i * size / (cuts + 1)).cast("int"))
-                    ),
-                )
-            ).alias("__cuts"),
-        )
-    )
-    schema = T.StructType(
-        [T.StructField("__gid", T.LongType()), T.StructField("__cuts", picked.schema["__cuts"].dataType)]
-    )
-    return spark.createDataFrame(picked.collect(), schema)
+    return ordinary.unionByName(joined)

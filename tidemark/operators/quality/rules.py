@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import strip_key_list
-from tidemark.operators.neighbours import find_hot_groups, with_neighbour
+from tidemark.operators.neighbours import find_hot_groups, group_rows, with_neighbour
 
 Params = Mapping[str, Any]
 Tables = Callable[[str], DataFrame]
@@ -174,7 +174,7 @@ def unchanged_version(
     )
     # Ties in the order are broken by the value, so that the count does not depend on the run.
     rows = rows.withColumn("__text", F.to_json("__value"))
-    hot = find_hot_groups(rows, keys)
+    hot = find_hot_groups(rows.select(*keys), keys, group_rows(rows))
     rows = with_neighbour(
         rows, keys, [*order, "__text"], {"__before": "__value"}, back=True, hot=hot
     )

@@ -39,3 +39,11 @@ def fits_broadcast(df: DataFrame) -> bool:
     """Whether Spark's own threshold would let it broadcast ``df``."""
     size = planned_bytes(df)
     return size is not None and size <= broadcast_limit(df)
+
+
+def row_bytes(df: DataFrame) -> int:
+    """What a row takes up as a rule, by its types: Spark's own default sizes."""
+    try:
+        return max(8, int(df._jdf.schema().defaultSize()))
+    except AttributeError:
+        return 64 * max(1, len(df.columns))
