@@ -1,6 +1,8 @@
 """Tables, whole batches, and raw files as a stream."""
 
+import os
 from datetime import datetime, timedelta
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,10 +10,11 @@ from pyspark.sql import functions as F
 from tests.conftest import rows_of
 from tidemark.operators.merge import merge
 from tidemark.plans.batch import Layout, open_batch, run_batch
-from tidemark.plans.load import load_summary, publish_summary
+from tidemark.plans.load import compact_summary, load_silver, load_summary, publish_silver, publish_summary
 from tidemark.plans import silver
 from tidemark.sources import schemas
 from tidemark.sources.tables import (
+    StateChanged,
     append,
     drop,
     empty,
@@ -23,8 +26,12 @@ from tidemark.sources.tables import (
     read,
     replace_partitions,
     settle,
+    settled_for_now,
+    shared_folder,
+    update,
     versions,
 )
+from tidemark.sources.tables import state as state_of
 from tidemark.streaming.increments import follow_raw, silver_increment
 from workload.common import MARK, application_raw, payment_raw
 
@@ -90,7 +97,7 @@ def summary_inputs(spark, frame, amount, day):
     return payments, empty(spark, schemas.APPLICATION)
 
 
-def test_summary_is_written_whole_only_when_a_closed_version_returns(spark, frame):
+def test_a_closed_version_that_returns_is_taken_out_of_its_part(spark, frame):
     """b: 1 -> 2 -> 3 -> 1. The last load brings back a closed version."""
     name, whole = "t_summary", empty(spark, schemas.PAYMENT_SUMMARY)
     sizes = []
@@ -102,18 +109,121 @@ def test_summary_is_written_whole_only_when_a_closed_version_returns(spark, fram
         whole = settle(load_summary(whole, payments, applications, **run))
         assert rows_of(read(spark, name)) == rows_of(whole)
         sizes.append(len(parts(spark, name)))
-    assert sizes == [1, 2, 3, 1]
+    assert sizes[0] == 1 and sizes[-1] > 4  # parts and the keys they replace
     got = read(spark, name).filter("application_id = 'b'").orderBy("start_ts")
     assert [(int(r["total_payments"]), r["active_flg"]) for r in got.collect()] == [(2, "N"), (3, "N"), (1, "Y")]
 
 
-def test_summary_parts_are_bounded(spark, frame):
-    for n in range(5):
-        payments, applications = summary_inputs(spark, frame, str(n), "2024-01-01")
+def test_compaction_gives_one_part_and_the_same_rows(spark, frame):
+    for n in range(4):
+        payments, applications = summary_inputs(spark, frame, str(n % 2), "2024-01-01")
         payments = payments.withColumn("src_load_ts", F.col("src_load_ts") + F.make_dt_interval(F.lit(n)))
-        publish_summary(spark, "t_bounded", payments, applications, batch_id="1", now="2024-02-01", max_parts=2)
-        assert len(parts(spark, "t_bounded")) <= 2
-    assert read(spark, "t_bounded").count() == 1 + 5
+        publish_summary(spark, "t_compact", payments, applications, batch_id="1", now="2024-02-01")
+    before = rows_of(read(spark, "t_compact"))
+    compact_summary(spark, "t_compact")
+    assert len(parts(spark, "t_compact")) == 1 and rows_of(read(spark, "t_compact")) == before
+
+
+def test_a_small_increment_writes_few_rows(spark):
+    """One payment on a table of 5,000 entities; then one that brings a closed version back."""
+    def payments(ids, amount, day):
+        return ids.select(
+            F.concat(F.lit("p"), "id").alias("payment_id"), F.col("id").cast("string").alias("application_id"),
+            F.lit(day).cast("date").alias("payment_date"), F.lit(amount).cast("decimal(18,2)").alias("payment_amount"),
+            F.lit("ok").alias("payment_status"), F.lit(day).cast("timestamp_ntz").alias("src_load_ts"),
+        )
+
+    applications = empty(spark, schemas.APPLICATION)
+    loads = [(spark.range(5000), 1, "2024-01-01"), (spark.range(7, 8), 2, "2024-01-02"), (spark.range(7, 8), 1, "2024-01-03")]
+    whole, size = empty(spark, schemas.PAYMENT_SUMMARY), []
+    for n, (ids, amount, day) in enumerate(loads):
+        run = {"batch_id": str(n), "now": f"2024-02-0{n + 1}"}
+        # The increment brings the payments of its day alone, but their date is the first's.
+        rows = payments(ids, amount, day).withColumn("payment_date", F.lit("2024-01-01").cast("date"))
+        publish_summary(spark, "t_few", rows, applications, **run)
+        whole = settle(load_summary(whole, rows, applications, **run))
+        newest = versions(spark, "t_few")[-1]
+        size.append(spark.table(newest).count())
+    assert size[0] == 5000 and max(size[1:]) <= 2
+    assert rows_of(read(spark, "t_few")) == rows_of(whole)
+
+
+def test_silver_loads_write_their_increment(spark, folder):
+    raw = payment_raw(spark, folder)
+    first, rest = up_to(raw, MARK[0]), raw.filter(F.col("src_load_ts") > F.lit(MARK[0]).cast("timestamp_ntz"))
+    few = rest.limit(20)
+    whole = empty(spark, schemas.PAYMENT)
+    for n, part in enumerate((first, settle(few), rest)):
+        run = {"batch_id": str(n), "now": f"2024-02-0{n + 1}"}
+        publish_silver(spark, "t_silver", schemas.PAYMENT, part, silver.PAYMENT, buckets=4, bucket_by=["payment_id"], **run)
+        whole = settle(load_silver(whole, part, silver.PAYMENT, **run))
+        if n == 1:
+            assert spark.table(versions(spark, "t_silver")[-1]).count() <= 20
+        assert rows_of(read(spark, "t_silver")) == rows_of(whole)
+
+
+def test_other_tables_with_like_names_are_left_alone(spark, frame):
+    publish(frame([(1,)], "n int"), "t_like")
+    frame([(9,)], "n int").write.saveAsTable("t_like__archive")
+    prune(spark, "t_like", keep=0)
+    drop(spark, "t_like")
+    assert rows_of(spark.table("t_like__archive")) == [(9,)]
+    spark.sql("DROP TABLE t_like__archive")
+
+
+def test_prune_keeps_what_it_is_told_to(spark, frame):
+    for n in range(3):
+        publish(frame([(n,)], "n int"), "t_keep")
+    prune(spark, "t_keep", keep=5)
+    assert len(versions(spark, "t_keep")) == 3
+    drop(spark, "t_keep")
+
+
+def test_two_writers_do_not_lose_rows(spark, frame):
+    publish(frame([(1,)], "n int"), "t_writers")
+    seen = state_of(spark, "t_writers")
+    publish(frame([(2,)], "n int"), "t_writers")
+    with pytest.raises(StateChanged):
+        publish(frame([(3,)], "n int"), "t_writers", based_on=seen)
+    late = []
+
+    def add(rows):
+        if not late:  # another writer comes in between
+            late.append(publish(frame([(2,), (4,)], "n int"), "t_writers"))
+        return rows.unionByName(frame([(5,)], "n int"))
+
+    assert rows_of(update(spark, "t_writers", "n int", add)) == [(2,), (4,), (5,)]
+
+
+def test_a_bucket_is_one_file(spark, tmp_path):
+    table = publish(spark.range(0, 1000, 1, 16), "t_files", bucket_by=["id"], buckets=4)
+    assert len(table.inputFiles()) <= 4
+
+
+def test_settled_frames_of_a_step_go_with_it(spark, frame):
+    with settled_for_now(spark):
+        inner = settle(frame([(1,)], "n int"))
+        path = inner.inputFiles()[0].removeprefix("file://").removeprefix("file:")
+        assert os.path.exists(path)
+    assert not os.path.exists(path)
+
+
+class _Cluster:
+    """A session of default settings on some master."""
+
+    def __init__(self, master, settings):
+        self.conf = SimpleNamespace(get=lambda key, default=None: settings.get(key, default))
+        self.sparkContext = SimpleNamespace(master=master)
+
+
+def test_a_cluster_must_name_a_shared_folder():
+    own = {"spark.sql.warehouse.dir": "file:/home/me/spark-warehouse"}
+    assert shared_folder(_Cluster("local[4]", own))
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            shared_folder(_Cluster(master, own))
+    assert shared_folder(_Cluster("yarn", {"spark.sql.warehouse.dir": "hdfs://n/w/"})) == "hdfs://n/w"
+    assert shared_folder(_Cluster("yarn", own | {"spark.checkpoint.dir": "file:///mnt/shared/"})) == "file:///mnt/shared"
 
 
 def test_partitioned_table_keeps_its_column_order(spark, frame):
@@ -136,8 +246,9 @@ def test_bucketed_table_is_merged_without_a_shuffle_of_it(spark, folder):
         source = settle(orders.withColumn("o_totalprice", F.lit(0.0)))
         plan = merge(table, source, "k", duplicates="trust")
         text = plan._jdf.queryExecution().executedPlan().toString()
-        # Only the two reads of the increment move.
-        assert text.count("Exchange hashpartitioning") == 2
+        # Only the increment moves, and once.
+        assert text.count("Exchange hashpartitioning") == 1
+        assert "FullOuter" in text
         assert plan.filter("o_totalprice = 0").count() == orders.count() == plan.count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

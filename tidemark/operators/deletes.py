@@ -12,7 +12,6 @@ from tidemark.functions.names import table_for_view
 from tidemark.functions.times import batch_number, moment
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.merge import merge
-from tidemark.operators.sizing import fits_broadcast
 from tidemark.sources.tables import settle
 
 # Fixed value: the event type that marks a delete in the change archive.
@@ -114,7 +113,7 @@ def delete_hard(
         kept = rows.alias("t").join(deletes.alias("s"), _match(keys, condition), "left_anti")
         return kept.select(*target.columns)
 
-    return _around_null_keys(target, deletes, keys, drop)
+    return _around_null_keys(target, keys, drop)
 
 
 def delete_soft(
@@ -141,7 +140,7 @@ def delete_soft(
         hits = old.join(new, match, "left_semi").select(*_closed(target, F.lit(True)))
         return hits.unionByName(old.join(new, match, "left_anti").select(*target.columns))
 
-    return _around_null_keys(target, deletes, keys, close)
+    return _around_null_keys(target, keys, close)
 
 
 def _closed(target: DataFrame, hit: Column) -> list[Column]:
@@ -171,13 +170,12 @@ def _distinct(deletes: DataFrame, keys: Mapping[str, str], condition: Column | N
 
 def _around_null_keys(
     target: DataFrame,
-    deletes: DataFrame,
     keys: Mapping[str, str],
     step: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
-    """Apply ``step``; where it will shuffle the table, rows with a NULL key go around it,
-    because they match nothing and would all meet in one task."""
-    if fits_broadcast(deletes):
+    """Apply ``step``; rows with a NULL key go around it, because they match nothing and
+    would all meet in one task of a shuffle."""
+    if not any(target.schema[k].nullable for k in keys):
         return step(target)
     keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     return step(target.filter(keyed)).unionByName(target.filter(~keyed))

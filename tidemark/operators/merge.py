@@ -40,11 +40,10 @@ def merge(
     guard           flag column: only target rows with 'Y' there can match.
     duplicates      source rows sharing a key: ``error``, ``latest`` (first in
                     ``order_by``), or ``trust`` when the caller has made them unique.
-    small_source    override the size check that chooses how known keys are found.
+    small_source    override the size check that chooses between the two joins.
 
-    The target is never grouped by key: it is the streamed side of a left join, which
-    Spark broadcasts when the source is under its threshold and else sort-merges, where
-    adaptive execution may split a hot target key. Rows without a usable key skip the join.
+    A small increment is broadcast against the streamed table; a larger one meets it in one
+    full outer join. Rows without a usable key, and those the guard keeps out, skip the join.
     """
     if duplicates not in DUPLICATE_POLICIES:
         raise ValueError(f"duplicates must be one of {DUPLICATE_POLICIES}")
@@ -72,47 +71,45 @@ def merge(
             if c.lower() not in held and c in keyed.columns
         }
 
-    small = fits_broadcast(source) if small_source is None else small_source
-    matchable = usable_key(target, keys, empty_matches)
-    # A sort-merge join would send all NULL keys to one task; a broadcast join moves none.
-    bypass = None if small else target.filter(~matchable)
-    joinable = target if small else target.filter(matchable)
-
     on = [F.col(f"old.{k}") == F.col(f"new.{k}") for k in keys]
+    # Rows that cannot match go around the join, whatever plan Spark makes of it: their NULL
+    # keys, or the closed versions of one key, would all meet in one task.
+    matchable = usable_key(target, keys, empty_matches)
     if guard is not None:
-        on.append(F.col(f"old.{guard}") == "Y")
-    hit = F.col("new.__hit")
-    updated = (
-        joinable.alias("old")
-        .join(
-            keyed.withColumn("__hit", F.lit(True)).alias("new"),
-            reduce(lambda a, b: a & b, on),
-            "left",
-        )
-        .select(
-            *[
-                (
-                    F.when(hit, expressions[c]).otherwise(F.col(f"old.{c}"))
-                    if c in expressions
-                    else F.col(f"old.{c}")
-                ).alias(c)
-                for c in columns
-            ]
-        )
-    )
-
-    eligible = target if guard is None else target.filter(F.col(guard) == "Y")
-    known = eligible.select(*keys)
+        matchable = matchable & F.coalesce(F.col(guard) == "Y", F.lit(False))
+    always = empty_matches and guard is None and not any(target.schema[k].nullable for k in keys)
+    joinable = target if always else target.filter(matchable)
+    around = None if always else target.filter(~matchable)
+
+    def on_match(c: str) -> Column:
+        return expressions.get(c, F.col(f"old.{c}"))
+
+    hit, present = F.col("new.__hit"), F.col("old.__old")
+    marked = keyed.withColumn("__hit", F.lit(True)).alias("new")
+    matches = reduce(lambda a, b: a & b, on)
+    small = fits_broadcast(source) if small_source is None else small_source
     if small:
-        # Only keys of the increment survive; the table itself is not shuffled.
-        known = known.join(source.filter(usable).select(*keys), keys, "left_semi")
+        # The increment is broadcast: the table is not shuffled, nor are its keys.
+        joined = joinable.alias("old").join(marked, matches, "left")
+        merged = joined.select(*[F.when(hit, on_match(c)).otherwise(F.col(f"old.{c}")).alias(c) for c in columns])
+        known = joinable.select(*keys).join(source.filter(usable).select(*keys), keys, "left_semi")
+        # The distinct folds a repeated key map-side, before it moves.
+        added = keyed.join(known.distinct(), keys, "left_anti")
+        merged = merged.unionByName(added, allowMissingColumns=True)
     else:
-        known = known.filter(matchable)
-    # The distinct folds a repeated key map-side, before it moves.
-    added = keyed.join(known.distinct(), keys, "left_anti").unionByName(keyless)
-
-    merged = updated if bypass is None else updated.unionByName(bypass)
-    return merged.unionByName(added, allowMissingColumns=True)
+        # Both sides move once, the table not at all when it is bucketed by the key.
+        old = joinable.withColumn("__old", F.lit(True)).alias("old")
+        joined = old.join(marked, matches, "full_outer")
+
+        def value(c: str) -> Column:
+            new = F.col(f"new.{c}") if c in keyed.columns else F.lit(None).cast(target.schema[c].dataType)
+            kept = F.when(hit, on_match(c)).otherwise(F.col(f"old.{c}"))
+            return F.when(present, kept).otherwise(new).alias(c)
+
+        merged = joined.select(*[value(c) for c in columns])
+    if around is not None:
+        merged = merged.unionByName(around)
+    return merged.unionByName(keyless, allowMissingColumns=True)
 
 
 def _named(target: DataFrame, names: Sequence[str]) -> list[str]:

@@ -11,13 +11,22 @@ from __future__ import annotations
 import re
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?")
+# What a version adds to its table's name: nanoseconds and a random part.
+_VERSION = r"__\d{20}_[0-9a-f]{8}"
+
+
+class StateChanged(RuntimeError):
+    """Another writer has published a table since the state that a plan was made on."""
 
 
 def exists(spark: SparkSession, name: str) -> bool:
@@ -39,6 +48,11 @@ def empty(spark: SparkSession, schema: str) -> DataFrame:
     ).filter(F.lit(False))
 
 
+def state(spark: SparkSession, name: str) -> str:
+    """What names a table's current state; empty before the first write."""
+    return _view_text(spark, name) if exists(spark, name) else ""
+
+
 def publish(
     df: DataFrame,
     name: str,
@@ -46,39 +60,98 @@ def publish(
     partition_by: Sequence[str] = (),
     bucket_by: Sequence[str] = (),
     buckets: int = 0,
+    based_on: str | None = None,
 ) -> DataFrame:
     """Write ``df`` as the table's new state and switch to it.
 
-    ``bucket_by`` lays rows out by key: later merges on that key need no shuffle of the
-    table. ``partition_by`` suits flags and batch ids, which readers filter on.
+    ``bucket_by`` lays rows out by key, one file a bucket: later merges on that key need no
+    shuffle of the table. ``partition_by`` suits flags and batch ids, which readers filter on.
+    ``based_on`` is the ``state`` that ``df`` was made from: when another writer has published
+    since, nothing is switched and StateChanged is raised.
     """
     written = _write(df, name, partition_by, bucket_by, buckets)
-    return _switch(df, name, [f"SELECT {_columns(df)} FROM {written}"])
+    return _switch(df, name, [f"SELECT {_columns(df)} FROM {written}"], based_on)
+
+
+def update(
+    spark: SparkSession,
+    name: str,
+    schema: str,
+    change: Callable[[DataFrame], DataFrame],
+    attempts: int = 5,
+) -> DataFrame:
+    """Publish ``change`` of the current state; when another writer was faster, of its state.
+
+    For tables that pipelines share, such as a ledger. The last look at the state and the
+    switch are two steps of the catalog: writers within that moment are not told apart.
+    """
+    for left in reversed(range(attempts)):
+        before = state(spark, name)
+        try:
+            return publish(change(read(spark, name, schema)), name, based_on=before)
+        except StateChanged:
+            if not left:
+                raise
+    raise ValueError("attempts counts at least one")
+
+
+@dataclass(frozen=True)
+class Replaced:
+    """Rows that a publish replaces: those whose ``on`` columns are in ``keys``, as far as
+    ``where`` (SQL over the table) holds for them. NULL keys replace nothing."""
+
+    keys: DataFrame
+    on: tuple[str, ...]
+    where: str = "true"
 
 
 def publish_over(
-    df: DataFrame, name: str, kept: str, *, partition_by: Sequence[str] = ()
+    df: DataFrame,
+    name: str,
+    kept: str | Sequence[Replaced],
+    *,
+    partition_by: Sequence[str] = (),
+    based_on: str | None = None,
 ) -> DataFrame:
-    """Switch to ``df`` plus those rows of the current state for which ``kept`` holds.
+    """Switch to ``df`` plus the rows of the current state that are kept.
 
-    Only ``df`` is written; the kept rows stay in the versions they are in. Partitioned by
-    the columns of ``kept``, a version is then read for its kept partitions only.
+    Only ``df`` is written, and the keys of what it replaces; kept rows stay in the versions
+    they are in. ``kept`` is a SQL condition, or what is replaced, by key. Every call adds a
+    part, and with keys a join, to what readers do: ``compact`` when that tells.
     """
-    current = _view_text(df.sparkSession, name)
+    spark = df.sparkSession
+    current = f"SELECT {_columns(df)} FROM ({_view_text(spark, name)})"
+    if isinstance(kept, str):
+        current = f"{current} WHERE {kept}"
+    else:
+        for replaced in kept:
+            keys = _write(replaced.keys.select(*replaced.on).distinct(), name, (), (), 0)
+            same = " AND ".join(f"t.`{c}` = k.`{c}`" for c in replaced.on)
+            current = (
+                f"SELECT {_columns(df)} FROM ({current}) AS t "
+                f"LEFT ANTI JOIN {keys} AS k ON {same} AND ({replaced.where})"
+            )
     written = _write(df, name, partition_by, (), 0)
-    return _switch(
-        df,
-        name,
-        [
-            f"SELECT {_columns(df)} FROM {written}",
-            f"SELECT {_columns(df)} FROM ({current}) WHERE {kept}",
-        ],
-    )
+    return _switch(df, name, [f"SELECT {_columns(df)} FROM {written}", current], based_on)
+
+
+def compact(
+    spark: SparkSession,
+    name: str,
+    *,
+    partition_by: Sequence[str] = (),
+    bucket_by: Sequence[str] = (),
+    buckets: int = 0,
+) -> DataFrame:
+    """Write a table's current state as one part."""
+    layout = {"partition_by": partition_by, "bucket_by": bucket_by, "buckets": buckets}
+    return publish(read(spark, name), name, based_on=state(spark, name), **layout)
 
 
 def parts(spark: SparkSession, name: str) -> list[str]:
     """The written versions that the table's current state reads, newest first."""
-    return re.findall(rf"{re.escape(_checked(name))}__\w+", _view_text(spark, name))
+    found = re.findall(rf"{re.escape(_checked(name))}{_VERSION}\b", _view_text(spark, name))
+    return list(dict.fromkeys(found))
 
 
 def versions(spark: SparkSession, name: str) -> list[str]:
@@ -86,7 +159,10 @@ def versions(spark: SparkSession, name: str) -> list[str]:
     database, _, table = _checked(name).rpartition(".")
     found = spark.catalog.listTables(database or None, f"{table}__*")
     prefix = f"{database}." if database else ""
-    return sorted(f"{prefix}{t.name}" for t in found if t.tableType != "VIEW")
+    ours = re.compile(re.escape(table) + _VERSION, re.IGNORECASE)
+    return sorted(
+        f"{prefix}{t.name}" for t in found if t.tableType != "VIEW" and ours.fullmatch(t.name)
+    )
 
 
 def prune(spark: SparkSession, name: str, keep: int = 2) -> None:
@@ -96,7 +172,7 @@ def prune(spark: SparkSession, name: str, keep: int = 2) -> None:
         raise ValueError("keep counts versions")
     current = set(parts(spark, name))
     written = versions(spark, name)
-    for version in written[: len(written) - keep]:
+    for version in written[: max(0, len(written) - keep)]:
         if version not in current:
             spark.sql(f"DROP TABLE {version}")
 
@@ -125,9 +201,40 @@ def replace_partitions(df: DataFrame, folder: str, partition_by: Sequence[str])
 
 def shared_folder(spark: SparkSession) -> str:
     """Where intermediate tables go: the folder the cluster names for checkpoints, else
-    the warehouse."""
+    the warehouse.
+
+    The named folder is taken as it is: a file path may well be a mount that all executors
+    share. The warehouse of default settings is a machine's own disk, which a cluster must
+    not use: there a checkpoint folder has to be named.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    if named:
+        return named.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    own_disk = re.match(r"file:|/|[^:/]*$|[^:]*/", warehouse) is not None
+    if own_disk and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return warehouse
+
+
+_scope: ContextVar[str | None] = ContextVar("settled", default=None)
+
+
+@contextmanager
+def settled_for_now(spark: SparkSession) -> Iterator[None]:
+    """Within this, what ``settle`` writes is for this step alone and goes at its end: for
+    steps that publish their result, after which nothing reads the settled frames."""
+    if _scope.get() is not None:  # part of a larger step
+        yield
+        return
+    folder = f"{_settled_folder(spark)}/step-{uuid.uuid4().hex}"
+    token = _scope.set(folder)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -135,15 +242,19 @@ def settle(df: DataFrame) -> DataFrame:
 
     For an increment that several branches of a plan use: it is computed once, survives
     lost executors, and has a measured size for Spark's join choice. All settled frames of
-    an application share a folder, which may go when the application has ended.
+    an application share a folder, which may go when the application has ended; those of a
+    step that publishes go with it, see ``settled_for_now``.
     """
     spark = df.sparkSession
-    application = spark.conf.get("spark.app.id", "session")
-    folder = f"{shared_folder(spark)}/tidemark/{application}/{uuid.uuid4().hex}"
+    folder = f"{_scope.get() or _settled_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def _settled_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tidemark/{spark.conf.get('spark.app.id', 'session')}"
+
+
 def _write(
     df: DataFrame, name: str, partition_by: Sequence[str], bucket_by: Sequence[str], buckets: int
 ) -> str:
@@ -153,6 +264,10 @@ def _write(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if buckets:
+        # One task a bucket, so one file; else every task would add its own to each.
+        writer = df.repartition(buckets, *bucket_by).write.format("parquet")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
         writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
     writer.saveAsTable(version)
     return version
@@ -163,8 +278,10 @@ def _view_text(spark: SparkSession, name: str) -> str:
     return described.filter(F.col("col_name") == "View Text").first()["data_type"]
 
 
-def _switch(df: DataFrame, name: str, selects: list[str]) -> DataFrame:
+def _switch(df: DataFrame, name: str, selects: list[str], based_on: str | None) -> DataFrame:
     spark = df.sparkSession
+    if based_on is not None and state(spark, name) != based_on:
+        raise StateChanged(f"{name} was published by another writer")
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS " + " UNION ALL ".join(selects))
     return spark.table(name)
 
