@@ -129,6 +129,37 @@ def test_unchanged_versions(frame, monkeypatch, hot):
     assert counts([check], {"t": history}) == {"e": (7, 2)}
 
 
+def test_a_wrong_check_gets_an_error_and_the_others_run(data):
+    good = Check("good", "dq_rule_not_null", {"table_name": "t", "column_name": "name"})
+    bad = [
+        Check("table", "dq_rule_not_null", {"table_name": "nowhere", "column_name": "name"}),
+        Check("column", "dq_rule_not_null", {"table_name": "t", "column_name": "missing"}),
+        Check("key", "dq_rule_unique", {"table_name": "t", "key_column": "missing"}),
+        Check("params", "dq_rule_attribute_within_range_check", {}),
+        Check("parent", "dq_rule_referential_integrity", {"table_name": "t", "column_name": "id", "ref_table": "p", "ref_column": "x"}),
+    ]
+    got = {r["exp_id"]: r for r in run_checks([good, *bad], {"t": data}).collect()}
+    assert got["good"]["total_record_count"] == 5 and len(got) == 6
+    for check in bad:
+        row = got[check.exp_id]
+        assert row["total_record_count"] is None and row["failure_record_query"].startswith("-- ")
+
+
+def test_ids_must_differ(data):
+    check = Check("e", "dq_rule_not_null", {"table_name": "t", "column_name": "name"})
+    with pytest.raises(ValueError, match="'e'"):
+        run_checks([check, check], {"t": data})
+
+
+def test_uniqueness_of_one_key_shares_a_shuffle(data):
+    checks = [
+        Check("a", "dq_rule_unique", {"table_name": "t", "key_column": "id"}),
+        Check("b", "dq_rule_unique_typ2", {"table_name": "t", "key_column": ["id"]}),
+    ]
+    plan = run_checks(checks, {"t": data})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_registered_names():
     assert len(ROW_RULES) + len(GROUP_RULES) == 14
 

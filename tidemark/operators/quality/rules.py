@@ -13,7 +13,6 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.names import strip_key_list
 from tidemark.operators.neighbours import find_hot_groups, group_rows, with_neighbour
 
 Params = Mapping[str, Any]
@@ -113,27 +112,46 @@ def value_compare(p: Params) -> str:
 
 def unique(table: DataFrame, counted: Column, p: Params, tables: Tables) -> DataFrame:
     """Rows whose key occurs more than once in the table."""
-    return _repeated(table, counted, p, F.lit(True))
+    return repeated(table, counted, unique_keys(p), [EVERY]).toDF("total", "failed")
 
 
 def unique_active(table: DataFrame, counted: Column, p: Params, tables: Tables) -> DataFrame:
     """Active rows whose key occurs more than once among active rows."""
-    return _repeated(table, counted, p, F.coalesce(F.col("active_flg") == "Y", F.lit(False)))
+    return repeated(table, counted, unique_keys(p), [ACTIVE]).toDF("total", "failed")
 
 
-def _repeated(table: DataFrame, counted: Column, p: Params, considered: Column) -> DataFrame:
-    keys = key_list(p.get("key_column") or p["column_name"])
+# Rows that a uniqueness rule looks at, as SQL.
+EVERY = "true"
+ACTIVE = "coalesce(active_flg = 'Y', false)"
+
+
+def unique_keys(p: Params) -> list[str]:
+    return key_list(p.get("key_column") or p["column_name"])
+
+
+def repeated(
+    table: DataFrame, counted: Column, keys: list[str], considered: list[str]
+) -> DataFrame:
+    """One row: the number of counted rows, and for each of ``considered`` the failing ones.
+    All rules on one key share the shuffle."""
     # Counted map-side: a key with a third of all rows moves as one row per task.
+    sides = [F.expr(c) for c in considered]
     groups = table.groupBy(*keys).agg(
-        F.count_if(considered).alias("copies"),
-        F.count_if(considered & counted).alias("rows"),
         F.count_if(counted).alias("all_rows"),
+        *[F.count_if(side).alias(f"copies{i}") for i, side in enumerate(sides)],
+        *[F.count_if(side & counted).alias(f"rows{i}") for i, side in enumerate(sides)],
     )
     complete = F.lit(True)
     for key in keys:
         complete = complete & F.col(key).isNotNull()
-    failed = F.when(complete & (F.col("copies") > 1), F.col("rows")).otherwise(0)
-    return groups.agg(_total("all_rows"), _total(failed).alias("failed")).toDF("total", "failed")
+    failed = [
+        F.when(complete & (F.col(f"copies{i}") > 1), F.col(f"rows{i}")).otherwise(0)
+        for i in range(len(sides))
+    ]
+    return groups.agg(
+        _total("all_rows").alias("total"),
+        *[_total(f).alias(f"f{i}") for i, f in enumerate(failed)],
+    )
 
 
 def referential_integrity(
@@ -189,6 +207,46 @@ def _total(column: str | Column) -> Column:
     return F.coalesce(F.sum(column), F.lit(0)).cast("long")
 
 
+# ---------------------------------------------------- failing rows of group rules
+# Each gives a query for the rows that the rule counts as failed; ``where`` selects the batch.
+
+
+def _known(keys: list[str], side: str = "") -> str:
+    return " AND ".join(f"{side}{_name(k)} IS NOT NULL" for k in keys)
+
+
+def _repeated_rows(considered: str) -> Callable[[str, Params, str], str]:
+    def query(name: str, p: Params, where: str) -> str:
+        keys = unique_keys(p)
+        names = ", ".join(_name(k) for k in keys)
+        same = " AND ".join(f"t.{_name(k)} = d.{_name(k)}" for k in keys)
+        return (
+            f"SELECT t.* FROM {name} t LEFT SEMI JOIN (SELECT {names} FROM {name} WHERE {considered} "
+            f"AND {_known(keys)} GROUP BY {names} HAVING count(*) > 1) d ON {same} "
+            f"WHERE {where}{considered}"
+        )
+
+    return query
+
+
+def _orphans(name: str, p: Params, where: str) -> str:
+    keys, parents = key_list(p.get("key_column") or p["column_name"]), key_list(p["ref_column"])
+    same = " AND ".join(f"t.{_name(k)} = r.{_name(r)}" for k, r in zip(keys, parents, strict=True))
+    return f"SELECT t.* FROM {name} t LEFT ANTI JOIN {p['ref_table']} r ON {same} WHERE {where}{_known(keys, 't.')}"
+
+
+def _unchanged(name: str, p: Params, where: str) -> str:
+    keys, column = key_list(p["key_column"]), _name(p["column_name"])
+    order = key_list(p.get("order_column") or "start_ts")
+    value = f"struct({column} AS v)"
+    by, along = ", ".join(map(_name, keys)), ", ".join([*map(_name, order), f"to_json({value})"])
+    before = f"lag({value}) OVER (PARTITION BY {by} ORDER BY {along})"
+    return (
+        f"SELECT * EXCEPT (__before) FROM (SELECT *, {before} AS __before FROM {name}) "
+        f"WHERE {where}__before IS NOT NULL AND __before.v <=> {column}"
+    )
+
+
 # The names by which configurations ask for a rule.
 ROW_RULES: dict[str, Callable[[Params], str]] = {
     "dq_rule_attribute_length_check": attribute_length,
@@ -209,4 +267,12 @@ GROUP_RULES: dict[str, Callable[[DataFrame, Column, Params, Tables], DataFrame]]
     "dq_rule_unique_typ2": unique_active,
 }
 
-__all__ = ["GROUP_RULES", "ROW_RULES", "key_list", "strip_key_list"]
+UNIQUE_RULES: dict[str, str] = {"dq_rule_unique": EVERY, "dq_rule_unique_typ2": ACTIVE}
+GROUP_QUERIES: dict[str, Callable[[str, Params, str], str]] = {
+    "dq_rule_referential_integrity": _orphans,
+    "dq_rule_scd2_change_in_attribute_value": _unchanged,
+    "dq_rule_unique": _repeated_rows(EVERY),
+    "dq_rule_unique_typ2": _repeated_rows(ACTIVE),
+}
+
+__all__ = ["GROUP_QUERIES", "GROUP_RULES", "ROW_RULES", "UNIQUE_RULES", "key_list"]

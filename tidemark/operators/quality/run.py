@@ -3,22 +3,35 @@
 from __future__ import annotations
 
 import json
+from collections import Counter
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scores import failure_ratio, result_status
 from tidemark.functions.times import batch_number, iso_text, moment
-from tidemark.operators.quality.rules import GROUP_RULES, ROW_RULES, key_list
+from tidemark.operators.quality.rules import (
+    GROUP_QUERIES,
+    GROUP_RULES,
+    ROW_RULES,
+    UNIQUE_RULES,
+    key_list,
+    repeated,
+    unique_keys,
+)
 from tidemark.sources.tables import empty
 
 # Row rules per aggregate; more rules on a table take another pass.
 RULES_PER_PASS = 100
 
+# Result of a check that could not be run.
+ERROR = "Error"
+
 RESULT_KEYS = ["project_id", "group_id", "rule_id", "exp_id", "batch_id"]
 
 
@@ -31,6 +44,12 @@ class Check:
     params: Mapping[str, Any]
 
 
+COUNTS = (
+    "exp_id string, total_record_count bigint, failure_record_count bigint, "
+    "failure_record_query string, key_column string"
+)
+
+
 def run_checks(
     checks: list[Check],
     tables: Mapping[str, DataFrame] | Callable[[str], DataFrame],
@@ -39,35 +58,70 @@ def run_checks(
     """(exp_id, total_record_count, failure_record_count, failure_record_query, key_column).
 
     With ``batch_id`` only that batch's rows count. Checks with an unknown rule are left
-    out; None when nothing is left to run.
+    out; one whose table, columns or parameters are wrong gets a row without counts that
+    says why in place of the query. Ids must differ. None when nothing is left to run.
     """
+    _refuse_repeats([c.exp_id for c in checks])
     table_of = tables if callable(tables) else tables.__getitem__
     by_table: dict[str, list[tuple[Check, str]]] = {}
+    by_key: dict[tuple[str, tuple[str, ...]], list[Check]] = {}
     parts: list[DataFrame] = []
+    wrong: list[tuple[Check, str]] = []
     for check in checks:
         name = check.params.get("table_name")
-        if check.rule in ROW_RULES:
-            predicate = ROW_RULES[check.rule](check.params)
-            by_table.setdefault(name, []).append((check, predicate))
-        elif check.rule in GROUP_RULES:
-            table = table_of(name)
-            counts = GROUP_RULES[check.rule](table, _in_batch(batch_id), check.params, table_of)
-            parts.append(
-                counts.select(
-                    F.lit(check.exp_id).alias("exp_id"),
-                    F.col("total").alias("total_record_count"),
-                    F.col("failed").alias("failure_record_count"),
-                    F.lit(None).cast("string").alias("failure_record_query"),
-                    _key_text(check).alias("key_column"),
+        try:
+            if check.rule in ROW_RULES:
+                predicate = ROW_RULES[check.rule](check.params)
+                _in_one_batch(table_of(name), batch_id).select(F.expr(predicate))  # analysed at once
+                by_table.setdefault(name, []).append((check, predicate))
+            elif check.rule in UNIQUE_RULES:
+                keys = tuple(unique_keys(check.params))
+                repeated(table_of(name), _in_batch(batch_id), list(keys), [UNIQUE_RULES[check.rule]])
+                by_key.setdefault((name, keys), []).append(check)
+            elif check.rule in GROUP_RULES:
+                table = table_of(name)
+                counts = GROUP_RULES[check.rule](table, _in_batch(batch_id), check.params, table_of)
+                parts.append(
+                    counts.select(
+                        F.lit(check.exp_id).alias("exp_id"),
+                        F.col("total").alias("total_record_count"),
+                        F.col("failed").alias("failure_record_count"),
+                        F.lit(_group_query(check, batch_id)).alias("failure_record_query"),
+                        _key_text(check).alias("key_column"),
+                    )
                 )
-            )
+        except (KeyError, ValueError, TypeError, AttributeError, PySparkException) as error:
+            wrong.append((check, f"-- {type(error).__name__}: {str(error).splitlines()[0][:500]}"))
     for name, rules in by_table.items():
         for start in range(0, len(rules), RULES_PER_PASS):
             part = rules[start : start + RULES_PER_PASS]
             parts.append(_row_rules_pass(table_of(name), name, part, batch_id))
+    for (name, keys), shared in by_key.items():
+        counted = repeated(
+            table_of(name), _in_batch(batch_id), list(keys), [UNIQUE_RULES[c.rule] for c in shared]
+        )
+        parts.append(_inlined(counted, [(c, f"f{i}", _group_query(c, batch_id)) for i, c in enumerate(shared)]))
+    if wrong:
+        spark = SparkSession.active()
+        parts.append(spark.createDataFrame([(c.exp_id, None, None, why, None) for c, why in wrong], COUNTS))
     return reduce(DataFrame.unionByName, parts) if parts else None
 
 
+def _refuse_repeats(ids: list[str]) -> None:
+    repeats = sorted(i for i, n in Counter(ids).items() if n > 1)
+    if repeats:
+        raise ValueError(f"several expectations have the id {repeats}")
+
+
+def _parsed(text: str | None) -> Mapping[str, Any]:
+    """Parameters of an expectation; none where the text is no JSON object."""
+    try:
+        value = json.loads(text or "")
+    except ValueError:
+        return {}
+    return value if isinstance(value, dict) else {}
+
+
 def run_quality(
     expectations: DataFrame,
     tables: Mapping[str, DataFrame] | Callable[[str], DataFrame],
@@ -82,14 +136,10 @@ def run_quality(
     rule names and parameters come to the driver. Counts stay in Spark.
     """
     wanted = expectations.select("exp_id", "dbt_test", "param_value").collect()
-    checks = [Check(r["exp_id"], r["dbt_test"], json.loads(r["param_value"])) for r in wanted]
+    checks = [Check(r["exp_id"], r["dbt_test"], _parsed(r["param_value"])) for r in wanted]
     counts = run_checks(checks, tables, batch_id if slice_batch else None)
     if counts is None:
-        counts = empty(
-            expectations.sparkSession,
-            "exp_id string, total_record_count bigint, failure_record_count bigint, "
-            "failure_record_query string, key_column string",
-        )
+        counts = empty(expectations.sparkSession, COUNTS)
     failed, total = F.col("failure_record_count"), F.col("total_record_count")
     return expectations.join(counts, "exp_id").select(
         "project_id",
@@ -108,7 +158,7 @@ def run_quality(
         "key_column",
         "col_name",
         iso_text(moment(now)).alias("rule_execution_ts"),
-        result_status(failed).alias("result_status"),
+        F.when(total.isNull(), F.lit(ERROR)).otherwise(result_status(failed)).alias("result_status"),
         "failure_record_count",
         "total_record_count",
         failure_ratio(failed, total).alias("failure_ratio"),
@@ -125,26 +175,44 @@ def run_quality(
 def _row_rules_pass(
     table: DataFrame, name: str, rules: list[tuple[Check, str]], batch_id
 ) -> DataFrame:
-    where = "" if batch_id is None else f"batch_id = {batch_id} AND "
-    if batch_id is not None:
-        table = table.filter(_in_batch(batch_id))
-    counted = table.agg(
+    counted = _in_one_batch(table, batch_id).agg(
         F.count(F.lit(1)).alias("total"),
         *[F.count_if(F.expr(rule)).alias(f"f{i}") for i, (_, rule) in enumerate(rules)],
     )
+    where = _batch_text(batch_id)
+    return _inlined(
+        counted,
+        [(c, f"f{i}", f"SELECT * FROM {name} WHERE {where}({rule})") for i, (c, rule) in enumerate(rules)],
+    )
+
+
+def _inlined(counted: DataFrame, checks: list[tuple[Check, str, str]]) -> DataFrame:
+    """A result row for each check, from the one row with all counts."""
     rows = [
         F.struct(
             F.lit(check.exp_id).alias("exp_id"),
             F.col("total").alias("total_record_count"),
-            F.col(f"f{i}").alias("failure_record_count"),
-            F.lit(f"SELECT * FROM {name} WHERE {where}({rule})").alias("failure_record_query"),
+            F.col(failed).alias("failure_record_count"),
+            F.lit(query).alias("failure_record_query"),
             _key_text(check).alias("key_column"),
         )
-        for i, (check, rule) in enumerate(rules)
+        for check, failed, query in checks
     ]
     return counted.select(F.inline(F.array(*rows)))
 
 
+def _group_query(check: Check, batch_id) -> str:
+    return GROUP_QUERIES[check.rule](check.params["table_name"], check.params, _batch_text(batch_id))
+
+
+def _batch_text(batch_id) -> str:
+    return "" if batch_id is None else f"batch_id = {batch_id} AND "
+
+
+def _in_one_batch(table: DataFrame, batch_id) -> DataFrame:
+    return table if batch_id is None else table.filter(_in_batch(batch_id))
+
+
 def _in_batch(batch_id) -> Column:
     if batch_id is None:
         return F.lit(True)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -376,6 +376,26 @@ def dq_run_results(spark, folder):
     return portable(results.drop("failure_record_query"))
 
 
+def dq_failing_rows(spark, folder):
+    """Rows that the failing-row query of every expectation gives, per expectation."""
+    tables = _with_history(_tables(spark, folder))
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+    checks = [
+        Check(f"{rule}_{i}", f"dq_rule_{rule}", params)
+        for rule, all_params in _RULES.items()
+        for i, params in enumerate(all_params)
+    ]
+    queries = run_checks(checks, tables).select("exp_id", "failure_record_query").collect()
+    counts = [
+        spark.sql(r["failure_record_query"]).agg(
+            F.lit(r["exp_id"]).alias("exp_id"), F.count(F.lit(1)).alias("failing_rows")
+        )
+        for r in queries
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 QUERIES = {
     "dq_config_projects": dq_config_projects,
     "dq_config_groups": dq_config_groups,
@@ -384,6 +404,7 @@ QUERIES = {
     "dq_active_expectations": dq_active_expectations,
     **{f"dq_{rule}": partial(_rule_query, rule) for rule in _RULES},
     "dq_run_results": dq_run_results,
+    "dq_failing_rows": dq_failing_rows,
 }
 
 # ------------------------------------------------------------------------- SQL
@@ -583,6 +604,9 @@ FROM orders JOIN rules ON o_orderkey = l_orderkey JOIN customer ON o_custkey = c
 JOIN nation ON c_nationkey = n_nationkey
 WHERE o_orderstatus <> 'F'""",
     **{f"dq_{rule}": _rule_sql(rule) for rule in _RULES},
+    "dq_failing_rows": f"""
+WITH {_TABLES}, counts AS ({' UNION ALL '.join(_counts(rule) for rule in _RULES)})
+SELECT exp_id, failed AS failing_rows FROM counts""",
     "dq_run_results": f"""
 WITH {_TABLES},
 counts AS ({' UNION ALL '.join(_counts(rule, by_batch=True) for rule in _RULES)}),
