@@ -27,27 +27,32 @@ def capture_deletes(
     pipeline_name: Column,
     batch_id,
     now,
+    latest_event: bool = False,
 ) -> DataFrame:
     """The delete log with the latest delete event of each key merged in.
 
+    With ``latest_event``, a key counts as deleted only if no other event of it came later.
+
     ``changes`` has primary_key__pk, seen_at, least_significant_position and event_type;
     the naming columns may be literals (one model) or columns of it (many models at once).
     A key that is in the log already keeps its first load time and batch.
     """
-    events = changes.filter(F.col("event_type") == DELETE_EVENT).select(
+    is_delete = F.col("event_type") == DELETE_EVENT
+    events = (changes if latest_event else changes.filter(is_delete)).select(
         model_id.alias("model_id"),
         model_grp.alias("model_grp"),
         pipeline_name.alias("pipeline_name"),
         F.col("primary_key__pk").cast("string").alias("pk"),
         moment(F.col("seen_at")).alias("src_load_ts"),
         "least_significant_position",
+        is_delete.alias("__deleted"),
     )
     latest = latest_per_key(
         events,
         ["model_id", "pk"],
         [F.desc("src_load_ts"), F.desc("least_significant_position")],
-    )
-    rows = settle(latest.drop("least_significant_position")).withColumns(
+    ).filter("__deleted")
+    rows = settle(latest.drop("least_significant_position", "__deleted")).withColumns(
         {
             "batch_id": batch_number(batch_id),
             "etl_load_ts": moment(now),

@@ -84,7 +84,11 @@ def date_consistency(p: Params) -> str:
 
 
 def not_null(p: Params) -> str:
-    return f"{_name(p['column_name'])} IS NULL"
+    """NULL fails; with ``empty_is_null`` so does text that is empty."""
+    name = _name(p["column_name"])
+    if p.get("empty_is_null") in (True, "true", "Y"):
+        return f"{name} IS NULL OR CAST({name} AS STRING) = ''"
+    return f"{name} IS NULL"
 
 
 def id_and_description(p: Params) -> str:
