@@ -8,6 +8,7 @@ generation. Any other text goes to the library whole.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Callable, Iterator, Sequence
 from itertools import chain
@@ -15,6 +16,8 @@ from typing import Any
 
 import numpy as np
 
+from tidemark.llm import memory
+
 #: Entries in a generation of a worker's cache; it holds two.
 GENERATION = 250_000
 #: Characters of texts that are handled at once.
@@ -30,7 +33,6 @@ byte_pieces = re.compile(
 ).findall
 
 _tokenizers: dict[str, Any] = {}
-_caches: dict[tuple[str, str], Cache] = {}
 
 
 def tokenizer(place: Callable[[], str]) -> tuple[str, Any]:
@@ -46,6 +48,15 @@ def tokenizer(place: Callable[[], str]) -> tuple[str, Any]:
     return path, _tokenizers[path]
 
 
+@functools.cache
+def _word_ends(path: str) -> np.ndarray:
+    """Per id of a loaded tokenizer: whether it ends a word."""
+    vocabulary = _tokenizers[path].get_vocab()
+    ends = np.zeros(max(vocabulary.values()) + 1, bool)
+    ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+    return ends
+
+
 def plain(text: str) -> bool:
     return _NOT_PLAIN(text) is None
 
@@ -54,15 +65,15 @@ class Cache:
     """What the library gave for pieces, in two generations: what the older one holds and is
     asked for again moves to the newer; the rest goes when that is full."""
 
-    def __init__(self, at_once: int = 10_000) -> None:
-        self.at_once = at_once
+    def __init__(self, at_once: int = 10_000, generation: int = GENERATION) -> None:
+        self.at_once, self.generation = at_once, generation
         self.new: dict[str, Any] = {}
         self.old: dict[str, Any] = {}
 
     def holding(self, pieces: set[str], encode: Callable[[list[str]], Sequence]) -> dict[str, Any]:
         """A mapping that has every one of ``pieces``."""
         missing = pieces.difference(self.new)
-        if len(self.new) + len(missing) > GENERATION:
+        if len(self.new) + len(missing) > self.generation:
             self.old, self.new, missing = self.new, {}, pieces
         old = self.old
         ask = []
@@ -93,15 +104,32 @@ def word_ids(texts: Sequence[str | None], place: Callable[[], str]) -> list[byte
     and drops white space. A null text has none."""
     path, library = tokenizer(place)
 
+    ends = _word_ends(path)
+
     def encode(part: list[str]) -> list[bytes]:
         found = library.encode_batch_fast(part, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    cache = _caches.setdefault((path, "ids"), Cache())
+    def encode_pieces(part: list[str]) -> list[bytes]:
+        """Pieces in few calls: side by side, their ids are told apart by the ends of words."""
+        lines = [part[i : i + 500] for i in range(0, len(part), 500)]
+        found = library.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False)
+        out: list[bytes] = []
+        for line, e in zip(lines, found):
+            ids = np.array(e.ids, "<u4")
+            last = (np.flatnonzero(ends[ids]) + 1) * 4
+            if len(last) != len(line):
+                out.extend(encode(line))
+                continue
+            joined, edges = ids.tobytes(), [0, *last.tolist()]
+            out.extend(joined[a:b] for a, b in zip(edges, edges[1:]))
+        return out
+
+    cache = memory.store("word ids").setdefault(path, Cache())
     out: list[bytes] = []
     for a, b in _parts(texts):
         split = [word_pieces(t.lower()) if t and plain(t) else [] for t in texts[a:b]]
-        known = cache.holding(set(chain.from_iterable(split)), encode).__getitem__
+        known = cache.holding(set(chain.from_iterable(split)), encode_pieces).__getitem__
         for text, pieces in zip(texts[a:b], split):
             out.append(b"".join(map(known, pieces)) if pieces or not text else encode([text])[0])
     return out
@@ -117,7 +145,7 @@ def byte_counts(
     def encode(part: list[str]) -> list[int]:
         return [len(e.ids) for e in library.encode_batch_fast(part, add_special_tokens=False)]
 
-    cache = _caches.setdefault((path, "lengths"), Cache())
+    cache = memory.store("byte counts").setdefault(path, Cache())
     out: list[int] = []
     for a, b in _parts(texts):
         totals, rare = [], []
