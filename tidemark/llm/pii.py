@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,37 +29,29 @@ WORD = r"\p{L}{3,40}"
 _SPAN = "struct<kind:string,start:int,end:int,value:string>"
 
 
-def _located(text: Column, pattern: str, kind: str, hits: Column) -> Column:
-    """Spans of ``hits``, the matches of a pattern in ``text``. Offsets are sums over the
-    pieces between matches, so that they count code points."""
+def _located(
+    text: Column, pattern: str, kind: str, hits: Column, keep: Callable[[Column], Column]
+) -> Column:
+    """Spans of those ``hits``, the matches of a pattern in ``text``, that ``keep`` holds for.
+    Offsets are sums over the pieces between matches, so that they count code points."""
     pieces = F.transform(F.split(text, pattern, -1), F.length)
     steps = F.zip_with(
         hits, F.slice(pieces, 1, F.size(hits)), lambda h, gap: F.struct(h.alias("h"), gap.alias("gap"))
     )
     empty = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("found"))
-    return F.aggregate(
-        steps,
-        empty,
-        lambda acc, s: F.struct(
-            (acc["at"] + s["gap"] + F.length(s["h"])).alias("at"),
-            F.concat(
-                acc["found"],
-                F.array(
-                    F.struct(
-                        F.lit(kind).alias("kind"),
-                        (acc["at"] + s["gap"]).alias("start"),
-                        (acc["at"] + s["gap"] + F.length(s["h"])).alias("end"),
-                        s["h"].alias("value"),
-                    )
-                ),
-            ).alias("found"),
-        ),
-        lambda acc: acc["found"],
-    )
+
+    def step(acc: Column, s: Column) -> Column:
+        start = acc["at"] + s["gap"]
+        end = start + F.length(s["h"])
+        span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), s["h"].alias("value"))
+        found = F.when(keep(s["h"]), F.concat(acc["found"], F.array(span))).otherwise(acc["found"])
+        return F.struct(end.alias("at"), found.alias("found"))
+
+    return F.aggregate(steps, empty, step, lambda acc: acc["found"])
 
 
-def _valid_spans(spans: Column, kind: str) -> Column:
-    return F.filter(spans, lambda s: _valid(kind, s["value"]))
+def _keeper(kind: str) -> Callable[[Column], Column]:
+    return lambda value: _valid(kind, value)
 
 
 def _of_kind(spans: str, kind: str) -> Column:
@@ -85,7 +79,7 @@ def pattern_spans(df: DataFrame, text: str, into: str) -> DataFrame:
     spans = [
         F.when(
             F.size(f"{into}_{k}") > 0,
-            _valid_spans(_located(column, PATTERNS[k], k, F.col(f"{into}_{k}")), k),
+            _located(column, PATTERNS[k], k, F.col(f"{into}_{k}"), _keeper(k)),
         ).otherwise(none)
         for k in PATTERNS
     ]
@@ -216,9 +210,10 @@ def find(
     spans = F.when(
         F.col("listed").isNotNull(),
         F.filter(
-            _located(text, r"\p{L}+", "term", F.col("words")),
-            lambda s: F.array_contains(F.col("listed"), F.lower(s["value"]))
-            & ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
+            _located(
+                text, r"\p{L}+", "term", F.col("words"), lambda w: F.array_contains("listed", F.lower(w))
+            ),
+            lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
         ),
     ).otherwise(none)
     return marked.select(
