@@ -1,5 +1,6 @@
 """Tables, whole batches, and raw files as a stream."""
 
+import json
 import os
 from datetime import datetime, timedelta
 from types import SimpleNamespace
@@ -12,6 +13,7 @@ from tidemark.operators.merge import merge
 from tidemark.plans.batch import Layout, open_batch, run_batch
 from tidemark.plans.load import compact_summary, load_silver, load_summary, publish_silver, publish_summary
 from tidemark.plans import silver
+from tidemark.plans.steps import delete_step, drift_step, quality_step
 from tidemark.sources import schemas
 from tidemark.sources.tables import (
     StateChanged,
@@ -320,6 +322,50 @@ def test_batches_end_to_end(spark, folder, buckets):
     assert state(spark, names) == before
 
 
+def test_a_batch_with_deletes_quality_and_drift(spark, folder, frame):
+    applications, payments = application_raw(spark, folder), payment_raw(spark, folder)
+    names = layout("steps")
+    run_batch(spark, applications, up_to(payments, MARK[0]), "loans", "2024-02-01 00:00:00", names)
+    gone = [r[0] for r in read(spark, names.payments).select("payment_id").orderBy("payment_id").limit(3).collect()]
+    closed = read(spark, names.summary).filter("active_flg = 'Y'").orderBy("application_id").first()["application_id"]
+    now = datetime(2024, 2, 1)
+
+    def changes(keys):
+        return frame(
+            [(k, now, 1, "IncrementalDeleteRows") for k in keys],
+            "primary_key__pk string, seen_at timestamp_ntz, least_significant_position int, event_type string",
+        )
+
+    expectation = {c: c for c in (
+        "project_id project_name group_id group_name rule_id rule_name rule_type exp_message schema_name tbl_name "
+        "full_tbl_name col_name severity_level source_system escalation_poc").split()}
+    rows = [
+        {**expectation, "exp_id": "ids", "dbt_test": "dq_rule_not_null",
+         "param_value": json.dumps({"table_name": names.payments, "column_name": "payment_id"})},
+        {**expectation, "exp_id": "gone", "dbt_test": "dq_rule_not_null",
+         "param_value": json.dumps({"table_name": "no_such_table", "column_name": "x"})},
+    ]
+    expectations = settle(spark.createDataFrame(rows))
+    steps = [
+        delete_step(changes(gone), "steps_deletes", names.payments, "payment_id", group="silver"),
+        delete_step(changes([closed]), "steps_deletes", names.summary, "application_id", group="gold", history=True),
+        quality_step(expectations, "steps_results"),
+        drift_step({names.payments: read(spark, names.payments).drop("payment_status")}, "steps_drift", "silver"),
+    ]
+    before = read(spark, names.payments).count()
+    for day in ("02", "03"):  # a delete that is logged already changes nothing
+        batch = run_batch(spark, applications, up_to(payments, MARK[0]), "loans", f"2024-02-{day} 00:00:00", names, steps)
+        of_batch = F.col("batch_id") == F.lit(batch).cast("decimal(38,0)")
+        assert read(spark, names.payments).filter(F.col("payment_id").isin(gone)).count() == 0
+        assert read(spark, names.payments).count() == before - 3
+        left = read(spark, names.summary).filter(F.col("application_id") == closed)
+        assert rows_of(left, "active_flg") == [("N",)]
+        assert rows_of(read(spark, "steps_drift").filter(of_batch), "column_name", "diff_type") == [("payment_status", "MISSING_IN_SOURCE")]
+        results = {r["exp_id"]: r["result_status"] for r in read(spark, "steps_results").filter(of_batch).collect()}
+        assert results == {"ids": "Success", "gone": "Error"}
+    assert read(spark, "steps_deletes").count() == 4
+
+
 def test_a_broken_batch_is_taken_up_again(spark, folder):
     names = layout("broken")
     applications, payments = application_raw(spark, folder), payment_raw(spark, folder)
