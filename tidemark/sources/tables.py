@@ -227,14 +227,28 @@ def settled_for_now(spark: SparkSession) -> Iterator[None]:
     if _scope.get() is not None:  # part of a larger step
         yield
         return
+    with settled_apart(spark) as folder:
+        try:
+            yield
+        finally:
+            forget_settled(spark, folder)
+
+
+@contextmanager
+def settled_apart(spark: SparkSession) -> Iterator[str]:
+    """Within this, ``settle`` writes to a folder of its own, which is given: for a step whose
+    result is read later. ``forget_settled`` deletes it when that has been done."""
     folder = f"{_settled_folder(spark)}/step-{uuid.uuid4().hex}"
     token = _scope.set(folder)
     try:
-        yield
+        yield folder
     finally:
         _scope.reset(token)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def forget_settled(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame) -> DataFrame:
