@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm import memory
 from tidemark.llm.words import Words, chunks, mixed, tables, words
 
 #: Hashed features shared by all grades.
@@ -161,10 +162,13 @@ def predict(docs: DataFrame, model: Model, text_column: str = "text") -> Column:
 
     @F.pandas_udf("expected_grade double, p_top double")
     def graded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        memory.only()
         for batch in batches:
             yield _scores(shared.value, batch.tolist())
+        memory.give_back()
 
-    return graded(F.col(f"`{text_column}`"))
+    # Not to be taken apart by the optimiser: a filter on a field would run it once more.
+    return graded.asNondeterministic()(F.col(f"`{text_column}`"))
 
 
 def grade(
@@ -174,7 +178,7 @@ def grade(
     id_column: str = "doc_id",
     text_column: str = "text",
     *,
-    tail: float = 0.5,
+    tail: float = 0.6,
 ) -> DataFrame:
     """``docs`` with expected_grade, p_top and selected (p_top of at least ``tail``); columns
     of these names are replaced. One row per row of ``docs``; an empty table gives none."""
