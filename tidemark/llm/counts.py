@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm import memory
 from tidemark.llm.tokens import byte_counts, byte_pieces, plain, tokenizer
 
 #: The broadcast table holds at most this many pre-tokens, the most frequent ones of at most
@@ -75,6 +76,7 @@ def count_tokens(
 
     @F.pandas_udf("long")
     def lengths(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        memory.only("byte counts")
         for batch in batches:
             yield pd.Series(byte_counts(batch.tolist(), place, table.value), dtype="int64")
 

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm import memory
 from tidemark.llm.words import Words, chunks, mixed, spread, words
 
 #: Bounds of the training sample: documents a language, documents in all, word runs of a
@@ -172,6 +173,9 @@ def fit(sample: list[tuple[str, str]]) -> Model:
     """
     languages = sorted({language for language, _ in sample})
     k = len(languages)
+    none = np.zeros(0, np.int64)
+    if not k or not len(words([run for _, run in sample]).start):
+        return Model(languages, np.zeros((BUCKETS, k)), np.zeros((k, k)), none.astype(np.uint64), none)
     order = np.random.default_rng(7).permutation(len(sample))
     found = words([sample[i][1] for i in order])
     label = np.array([languages.index(sample[i][0]) for i in order], np.int64)[found.doc]
@@ -229,6 +233,8 @@ def label_chunk(model: Model, texts: list[str | None]) -> tuple[Words, np.ndarra
 
 def _summary(model: Model, texts: list[str | None]) -> pd.DataFrame:
     n, k = len(texts), len(model.languages)
+    if not k:
+        return pd.DataFrame({"lang_pred": [UNKNOWN] * n, "score": np.zeros(n)})
     total, size = np.zeros((n, k)), np.zeros(n)
     for a, b in chunks(texts):
         found, marginals = label_chunk(model, texts[a:b])
@@ -305,10 +311,13 @@ def predict(docs: DataFrame, model: Model, text_column: str = "text") -> Column:
 
     @F.pandas_udf("lang_pred string, score double")
     def languages(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        memory.only()
         for batch in batches:
             yield _summary(shared.value, batch.tolist())
+        memory.give_back()
 
-    return languages(F.col(f"`{text_column}`"))
+    # Not to be taken apart by the optimiser: a filter on a field would run it once more.
+    return languages.asNondeterministic()(F.col(f"`{text_column}`"))
 
 
 def label_words(docs: DataFrame, model: Model, text_column: str = "text") -> Column:

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm import memory
 from tidemark.llm.frames import settle
 from tidemark.llm.tokens import word_ids
 
@@ -36,6 +37,7 @@ def pieces_of(
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        memory.only("word ids")
         for batch in batches:
             row, piece, start, length, crc, ids = [], [], [], [], [], []
             for i, found in enumerate(word_ids(batch["text"].tolist(), place)):

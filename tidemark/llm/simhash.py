@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm import memory
 from tidemark.llm.components import components
 from tidemark.llm.frames import packed_row, settle
 
@@ -51,6 +52,7 @@ def fingerprint(text_column: str = "text", shingle: int = 4, seed: int = 42) ->
 
     @F.pandas_udf("long")
     def hashed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        memory.only()
         for batch in batches:
             yield pd.Series([_fingerprint(t, shingle, seed) for t in batch], dtype="int64")
 

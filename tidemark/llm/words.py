@@ -12,7 +12,7 @@ import numpy as np
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 #: Characters handled at once; a longer text is still one piece.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
