@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.sources.tables import settle
 
-__all__ = ["documents", "packed_row", "settle", "replace_columns", "tokenizer_file", "unpacked"]
+__all__ = ["documents", "packed_row", "settle", "tokenizer_file"]
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -22,16 +22,6 @@ def packed_row(df: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in df.columns])
 
 
-def unpacked(df: DataFrame, row: str, columns: Sequence[str], *more: Column) -> DataFrame:
-    """The columns of a packed row again, then ``more``."""
-    return df.select(*[F.col(f"`{row}`.`{c}`") for c in columns], *more)
-
-
-def replace_columns(df: DataFrame, **values: Column) -> DataFrame:
-    """``df`` with columns set; a column of the same name gives way, others stay in place."""
-    return df.withColumns(values)
-
-
 def tokenizer_file(name: str, folder: str | None = None) -> Callable[[], str]:
     """Where a tokenizer's file is, asked for on the machine that opens it."""
 
