@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from contextvars import ContextVar
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import exact, language, packing, pii, simhash
 from tidemark.llm.frames import documents, settle, tokenizer_file
+from tidemark.sources.tables import forget_settled, settled_apart
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: A document is rejected when no language has this share of its words' probability.
 LEAST_SHARE = 0.4
@@ -40,12 +46,31 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, folder: str) -> DataF
     return packing.pack(docs, tokenizer_file("word_bpe_49k.json"), capacity=2048)
 
 
+#: Folders that the last stage of this pipeline settled frames in.
+_settled: ContextVar[tuple[str, ...]] = ContextVar("settled", default=())
+
+
+def _stage(work: Stage) -> Stage:
+    """A stage with its intermediate tables in a folder of its own. The stage before it has
+    been written when this one begins, so what that one settled goes first: the pipeline needs
+    room for the tables of one stage, not of all."""
+
+    def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+        for done in _settled.get():
+            forget_settled(spark, done)
+        with settled_apart(spark) as own:
+            _settled.set((own,))
+            return work(spark, docs, folder)
+
+    return stage
+
+
 STAGES = [
-    ("language_id", language_id),
-    ("exact_dedup", exact_dedup),
-    ("simhash_near_dedup", simhash_near_dedup),
-    ("pii", private_data),
-    ("best_fit_packing", best_fit_packing),
+    ("language_id", _stage(language_id)),
+    ("exact_dedup", _stage(exact_dedup)),
+    ("simhash_near_dedup", _stage(simhash_near_dedup)),
+    ("pii", _stage(private_data)),
+    ("best_fit_packing", _stage(best_fit_packing)),
 ]
 
 #: Models, tokenizers and components have no SQL; the tests compare with a plain version.
@@ -53,8 +78,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, folder: str) -> DataFrame:
-    """All stages on the documents of a folder; each stage's result is written and read again."""
-    docs = documents(spark, folder)
+    """All stages on the documents of a folder; each stage's result is written and read again,
+    and goes when the next one's is written."""
+    docs, before = documents(spark, folder), None
     for _, stage in STAGES[:-1]:
-        docs = settle(stage(spark, docs, folder))
+        result = stage(spark, docs, folder)
+        with settled_apart(spark) as written:
+            docs = settle(result)
+        if before is not None:
+            forget_settled(spark, before)
+        before = written
     return STAGES[-1][1](spark, docs, folder)

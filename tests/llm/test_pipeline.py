@@ -7,6 +7,7 @@ from tests.llm.test_pii import plain_spans
 from tests.llm.test_simhash import brute_classes, brute_print
 
 from tidemark.llm import queries
+from tidemark.llm.frames import settle
 
 
 @pytest.fixture(scope="module")
@@ -45,7 +46,7 @@ def test_stages_keep_the_columns_of_documents(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(60)
     columns = docs.columns
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stage(spark, docs, folder)
+        docs = settle(stage(spark, docs, folder))  # written and read again, as the contract says
         assert docs.columns == columns, name
     plain = [r["text"] for r in docs.collect()]
     assert not any(plain_spans(t) for t in plain)
