@@ -1,3 +1,4 @@
+import hashlib
 import random
 import zlib
 
@@ -27,16 +28,29 @@ def test_ids_are_the_library_s():
         assert pieces.decode_ids(ids, PATH) == text.replace("▁", " ")
 
 
+def test_borders_of_pieces():
+    """The rule for pairs equals merging their joint text."""
+    v = pieces.vocabulary(PATH)
+    text = {i: p for p, i in v.ids.items()}
+    rng = np.random.default_rng(2)
+    short = v.matched[v.length <= 4]
+    a = np.concatenate([rng.choice(v.matched, 4000), rng.choice(short, 4000)])
+    b = np.array([i for i in rng.choice(v.matched, 30_000) if text[i][0] != "▁"][:8000])
+    want = [v.merged(text[x] + text[y]) != [x, y] for x, y in zip(a.tolist(), b.tolist())]
+    assert v._cross(a, b).tolist() == want
+
+
 def test_columns(frame):
     model = tokenizer_file("piece_bpe_32k.model")
     df = frame([(1, "two words", 5), (1, "two words", 5), (2, None, 6), (None, "", 7)], "doc_id long, text string, ids int")
-    rows = df.drop("ids").withColumn("ids", pieces.encode(model)).withColumns({"back": pieces.decode(model), "crc": pieces.ids_crc32()})
+    rows = df.drop("ids").withColumn("ids", pieces.encode(model)).withColumns({"back": pieces.decode(model), "digest": pieces.round_trip(model)})
     found = sorted(rows.collect(), key=repr)
     library = sentencepiece.SentencePieceProcessor(model_file=PATH)
     for r in found:
         ids = library.encode(r["text"] or "")
         assert r["ids"] == ids and r["back"] == (r["text"] or "")
-        assert r["crc"] == zlib.crc32(np.array(ids, "<u4").tobytes())
+        assert r["digest"]["decoded_sha256"] == hashlib.sha256((r["text"] or "").encode()).hexdigest()
+        assert (r["digest"]["n_ids"], r["digest"]["ids_crc32"]) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
     assert len(found) == 4
 
 

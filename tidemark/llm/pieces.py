@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import hashlib
 import zlib
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
@@ -12,12 +13,18 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.llm import memory
 from tidemark.llm.tokens import Cache
 from tidemark.llm.words import chunks, spread
 
 SPACE = "▁"
 #: Longest piece that matching handles, as a power of two: four characters fill a key.
 LONGEST = 16
+#: Words that are matched at once.
+WORDS = 25_000
+#: Pairs of pieces that a worker remembers.
+PAIRS = 3_000_000
+_HASH_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass
@@ -33,8 +40,6 @@ class Vocabulary:
     matched: np.ndarray = None  # ids of the pieces that can result, and their characters
     length: np.ndarray = None
     codes: np.ndarray = None
-    fits: dict[int, bool] = field(default_factory=dict)  # pair of pieces -> may stand together
-
     def __post_init__(self) -> None:
         usable = [(p, i) for p, i in self.ids.items() if self.merged(p) == [i]]
         for p, _ in usable:
@@ -45,10 +50,62 @@ class Vocabulary:
         self.codes = np.zeros((len(usable), LONGEST), np.uint64)
         for row, (p, _) in enumerate(usable):
             self.codes[row, : len(p)] = [self.alphabet[c] for c in p]
-        self.text = {i: p for p, i in self.ids.items()}
         self.size = np.ones(max(self.ids.values()) + 2, np.int64)
         self.size[self.matched] = self.length
         self.unknown = len(self.size) - 1
+        self._edges_of_pieces(usable)
+        # Pairs of pieces asked for so far, and whether they may stand together.
+        self.pairs, self.fits = np.zeros(0, np.int64), np.zeros(0, bool)
+        self.asked: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def _edges_of_pieces(self, usable: list[tuple[str, int]]) -> None:
+        """For every piece, what stands at its right and left edge while it is merged: the
+        piece, its last (first) part, that part's last part, and so on; and the id of the
+        merge that uses each up."""
+        n = len(self.size)
+        shape = (n, LONGEST)
+        self.right, self.right_until = np.full(shape, -1, np.int64), np.full(shape, n, np.int64)
+        self.left, self.left_until = np.full(shape, -1, np.int64), np.full(shape, n, np.int64)
+        self.born = np.full(n, -1, np.int64)  # the merge that makes a piece; letters are there
+        self.hash = np.zeros(n, np.uint64)
+        halves = {}
+        for p, i in usable:
+            self.hash[i] = self._hash(p)
+            if len(p) > 1:
+                self.born[i] = i
+                halves[i] = self._halves(p)
+        for _, i in usable:
+            for spine, until, side in ((self.right, self.right_until, 1), (self.left, self.left_until, 0)):
+                part, depth = i, 0
+                while True:
+                    spine[i, depth] = part
+                    if part not in halves:
+                        break
+                    until[i, depth + 1] = part
+                    part, depth = halves[part][side], depth + 1
+        self.powers = _HASH_BASE ** np.arange(LONGEST + 1, dtype=np.uint64)
+        order = np.argsort(self.hash[self.matched])
+        self.by_hash, self.hashes = self.matched[order], self.hash[self.matched][order]
+        if len(np.unique(self.hashes)) < len(self.hashes):
+            raise ValueError("pieces share a hash")
+        # Merges run in order of ids only if no part is made by a later merge than its whole.
+        if any(h > i and self.born[h] >= 0 for i, hs in halves.items() for h in hs):
+            raise ValueError("a piece is older than its parts")
+
+    @staticmethod
+    def _hash(text: str) -> np.uint64:
+        value = 0
+        for c in text:
+            value = (value * int(_HASH_BASE) + ord(c) + 1) % (1 << 64)
+        return np.uint64(value)
+
+    def _halves(self, piece: str) -> tuple[int, int]:
+        """The two pieces that the last merge of a piece joins."""
+        parts = list(piece)
+        while len(parts) > 2:
+            _, at = min((self.ids.get(a + b, 1 << 30), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        return self.ids[parts[0]], self.ids[parts[1]]
 
     def merged(self, text: str) -> list[int]:
         """Pieces of a short text by pair merges: always the neighbours whose joint piece has
@@ -81,21 +138,55 @@ class Vocabulary:
     def compatible(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether merging the joint text of two pieces gives just these two."""
         keys, inverse = np.unique(left * 65_536 + right, return_inverse=True)
-        known = self.fits
-        if len(known) > 4_000_000:
-            known.clear()
-        out = np.empty(len(keys), bool)
-        for i, key in enumerate(keys.tolist()):
-            fit = known.get(key)
-            if fit is None:
-                a, b = divmod(key, 65_536)
-                fit = known[key] = self.merged(self.text[a] + self.text[b]) == [a, b]
-            out[i] = fit
+        out = np.zeros(len(keys), bool)
+        new = np.ones(len(keys), bool)
+        if len(self.pairs):
+            at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
+            new = self.pairs[at] != keys
+            out[~new] = self.fits[at[~new]]
+        if new.any():
+            out[new] = ~self._cross(keys[new] >> 16, keys[new] & 65_535)
+            self.asked.append((keys[new], out[new]))
         return out[inverse]
 
+    def remember(self) -> None:
+        """Add the pairs asked for since the last call to the known ones, up to a bound."""
+        if not self.asked:
+            return
+        keys = np.concatenate([self.pairs, *[k for k, _ in self.asked]])
+        fits = np.concatenate([self.fits, *[f for _, f in self.asked]])
+        self.asked = []
+        self.pairs, first = np.unique(keys, return_index=True)
+        self.fits = fits[first]
+        if len(self.pairs) > PAIRS:
+            self.pairs, self.fits = np.zeros(0, np.int64), np.zeros(0, bool)
+
+    def _cross(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether a merge would cross the border between two pieces.
+
+        Merges run by id, so that what is at an edge stands there from the merge that made it
+        to the one that uses it up. A part at the right edge of ``a`` and one at the left edge
+        of ``b`` merge if they stand there together, their joint piece exists, and its id
+        comes before what uses them up. Of equal ids the left one merges first.
+        """
+        crossed = np.zeros(len(a), bool)
+        for i in range(LONGEST):
+            for j in range(LONGEST):
+                rest = np.flatnonzero(~crossed & (self.right[a, i] >= 0) & (self.left[b, j] >= 0))
+                if not len(rest):
+                    break
+                x, y = self.right[a[rest], i], self.left[b[rest], j]
+                x_until, y_until = self.right_until[a[rest], i], self.left_until[b[rest], j]
+                joint = self.hash[x] * self.powers[self.size[y]] + self.hash[y]
+                at = np.minimum(np.searchsorted(self.hashes, joint), len(self.hashes) - 1)
+                merge = self.by_hash[at]
+                there = (self.hashes[at] == joint) & (self.size[x] + self.size[y] <= LONGEST)
+                together = (self.born[y] < x_until) & (self.born[x] <= y_until)
+                crossed[rest] = there & together & (merge < x_until) & (merge <= y_until)
+        return crossed
+
 
 _vocabularies: dict[str, Vocabulary] = {}
-_caches: dict[str, Cache] = {}
 
 
 def vocabulary(path: str) -> Vocabulary:
@@ -213,6 +304,7 @@ def encode_words(words: Sequence[str], v: Vocabulary) -> list[bytes]:
         if ask.any():
             good[ask] = v.compatible(before[ask], p[ask])
         last[end[a:b][good]] = p[good]
+    v.remember()
     # From the ends back, one piece of every word at a time.
     here, left = starts + sizes, np.arange(len(words))
     pieces, owners = [], []
@@ -245,30 +337,57 @@ def _with_bytes(word: str, ids: list[int], v: Vocabulary) -> bytes:
 
 
 def encode_texts(texts: Sequence[str | None], path: str) -> list[bytes]:
-    """Ids of whole texts. Words are matched once per worker and cache generation."""
+    """Ids of whole texts. Words are matched once per worker and cache generation.
+
+    No piece goes on over a space or line end, so a text is encoded by lines and words: the
+    words after a space mark, and those that open a line but the first, have caches of their
+    own. A run of space marks is encoded as one, with the mark that a word did not use.
+    """
     v = vocabulary(path)
-    cache = _caches.setdefault(path, Cache(50_000))
+    kept = memory.store("pieces")
+    marked = kept.setdefault((path, "marked"), Cache(WORDS, 200_000))
+    opening = kept.setdefault((path, "opening"), Cache(WORDS, 50_000))
     lone = np.array([v.spaces[1]], "<u4").tobytes()
+    line_end = np.array([v.byte[10]], "<u4").tobytes()
+    split_lines = "\n" not in v.alphabet
     out: list[bytes] = []
     for a, b in chunks(texts):
-        split = [t.replace(SPACE, " ").split(" ") if t else [] for t in texts[a:b]]
-        wanted = {p for parts in split for p in parts if p}
-        known = cache.holding(wanted, lambda ps: encode_words([SPACE + p for p in ps], v))
-        for parts in split:
-            if "" not in parts:
-                out.append(b"".join(map(known.__getitem__, parts)))
-                continue
-            found, marks = [], 0
-            for part in parts:
-                marks += 1
-                if part:
-                    ids = known[part]
-                    if ids.startswith(lone):
-                        found += (v.run(marks), ids[4:])
-                    else:
-                        found += (v.run(marks - 1), ids)
-                    marks = 0
-            found.append(v.run(marks))
+        split = []
+        for t in texts[a:b]:
+            t = (t or "").replace(SPACE, " ")
+            split.append([line.split(" ") for line in (t.split("\n") if split_lines else [t])] if t else [])
+        after, heads = set(), set()
+        for lines in split:
+            for i, parts in enumerate(lines):
+                after.update(parts[1:] if i else parts)
+                if i:
+                    heads.add(parts[0])
+        after.discard("")
+        heads.discard("")
+        word = marked.holding(after, lambda ps: encode_words([SPACE + p for p in ps], v)).__getitem__
+        head = opening.holding(heads, lambda ps: encode_words(ps, v))
+        for lines in split:
+            found: list[bytes] = []
+            for i, parts in enumerate(lines):
+                if i:
+                    found.append(line_end)
+                    if parts[0]:
+                        found.append(head[parts[0]])
+                    parts = parts[1:]
+                if "" not in parts:
+                    found.extend(map(word, parts))
+                    continue
+                marks = 0
+                for part in parts:
+                    marks += 1
+                    if part:
+                        ids = word(part)
+                        if ids.startswith(lone):
+                            found += (v.run(marks), ids[4:])
+                        else:
+                            found += (v.run(marks - 1), ids)
+                        marks = 0
+                found.append(v.run(marks))
             out.append(b"".join(found))
     return out
 
@@ -287,6 +406,7 @@ def encode(place: Callable[[], str], text_column: str = "text") -> Column:
 
     @F.pandas_udf("array<int>")
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        memory.only("pieces")
         for batch in batches:
             found = encode_texts(batch.tolist(), place())
             yield pd.Series([np.frombuffer(b, "<i4") for b in found], dtype=object)
@@ -307,11 +427,27 @@ def decode(place: Callable[[], str], ids_column: str = "ids") -> Column:
     return text(F.col(f"`{ids_column}`"))
 
 
-def ids_crc32(ids_column: str = "ids") -> Column:
-    """CRC-32 of an array of ids as little-endian unsigned 32-bit values."""
+def round_trip(place: Callable[[], str], text_column: str = "text") -> Column:
+    """Column of struct(n_ids, ids_crc32, decoded_sha256): a text's pieces by ``encode``, as
+    CRC-32 of the ids in little-endian unsigned 32-bit, and SHA-256 of what ``decode`` makes of
+    them. One pass in one worker, in which no more than a few texts' ids are held."""
 
-    @F.pandas_udf("long")
-    def crc(batch: pd.Series) -> pd.Series:
-        return pd.Series([zlib.crc32(np.asarray(x, "<u4").tobytes()) for x in batch], dtype="int64")
+    @F.pandas_udf("n_ids long, ids_crc32 long, decoded_sha256 string")
+    def digests(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        memory.only("pieces")
+        path = place()
+        for batch in batches:
+            size, crc, sha = [], [], []
+            for a, b in chunks(batch):
+                for ids in encode_texts(batch.iloc[a:b].tolist(), path):
+                    size.append(len(ids) // 4)
+                    crc.append(zlib.crc32(ids))
+                    text = decode_ids(np.frombuffer(ids, "<u4"), path)
+                    sha.append(hashlib.sha256(text.encode("utf-8")).hexdigest())
+            yield pd.DataFrame(
+                {"n_ids": np.array(size, np.int64), "ids_crc32": np.array(crc, np.int64), "decoded_sha256": pd.Series(sha, dtype=object)}
+            )
+            memory.give_back()
 
-    return crc(F.col(f"`{ids_column}`"))
+    # Not to be taken apart by the optimiser: each field would run it once more.
+    return digests.asNondeterministic()(F.col(f"`{text_column}`"))
