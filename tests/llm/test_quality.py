@@ -43,3 +43,17 @@ def test_edge_cases(frame):
     none = quality.grade(docs, labels.limit(0), rating()).collect()
     assert all(r["expected_grade"] == 0 and r["selected"] for r in none)
     assert quality.grade(docs.limit(0), labels, rating()).count() == 0
+
+
+def test_marks_of_few_documents_are_learnt():
+    rng = np.random.default_rng(1)
+    words = [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(10) for j in range(10)]
+    insults = ["awful", "vile", "rotten"]
+    texts = [" ".join(rng.choice(words, 40)) for _ in range(3000)]
+    grades = [2] * 3000
+    for i in range(0, 3000, 100):  # 1 % of the documents, 10 for each insult
+        texts[i], grades[i] = f"{texts[i]} {insults[i // 100 % 3]}", 1
+    model = quality.fit(texts, grades)
+    clean = " ".join(rng.choice(words, 40))
+    scores = quality._scores(model, [clean, *[f"{clean} {w}" for w in insults]])
+    assert scores.p_top[0] >= 0.6 and (scores.p_top[1:] < 0.6).all()

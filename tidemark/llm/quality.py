@@ -19,15 +19,18 @@ BUCKETS = 1 << 18
 #: the id, and characters of one. Scoring has no such bound.
 SAMPLE, SAMPLE_CHARS = 8_000, 20_000
 STEPS, RATE, DECAY = 150, 1.0, 1e-4
-#: A bucket that a smaller share of the sample has gets no weight: it would only name them.
-SEEN = 0.02
+#: A bucket that fewer documents of the sample have gets no weight: it would only name them. A
+#: count, not a share, so that rare marks count in a sample of any size.
+LEAST = 3
+#: Evidence (a likelihood ratio's logarithm, doubled) at which a bucket counts half.
+DOUBT = 10.0
 
 
 @dataclass
 class Model:
     grades: list[int]  # ascending
     weights: np.ndarray  # one a bucket, shared by all grades
-    rarity: np.ndarray  # one a bucket, 0 where the sample had too few documents of it
+    telling: np.ndarray  # one a bucket, 0 where the sample had too few documents of it
     thresholds: np.ndarray  # ascending, one between each two grades
 
     def at_least(self, score: np.ndarray) -> np.ndarray:
@@ -70,16 +73,34 @@ def features(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray, np.nd
 
 
 def _weighed(
-    owner: np.ndarray, bucket: np.ndarray, value: np.ndarray, rarity: np.ndarray, n: int
+    owner: np.ndarray, bucket: np.ndarray, value: np.ndarray, telling: np.ndarray, n: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features that the model knows, by how rare they are, of length 1 for each document."""
-    value = value * rarity[bucket]
+    """Features that the model knows, by how telling they are, of length 1 for each document."""
+    value = value * telling[bucket]
     known = value > 0
     owner, bucket, value = owner[known], bucket[known], value[known]
     norm = np.sqrt(np.bincount(owner, value**2, n))
     return owner, bucket, value / norm[owner]
 
 
+def _telling(owner: np.ndarray, bucket: np.ndarray, y: np.ndarray, k: int) -> np.ndarray:
+    """How far the grades of a bucket's documents are from all grades, as a root of the evidence
+    a document; less where the bucket's evidence is little, as it is by chance in many rare ones.
+    By rarity alone, the many rare buckets of any text would drown the few that tell."""
+    having = np.bincount(bucket, minlength=BUCKETS)
+    most = np.zeros(BUCKETS)
+    for j in range(k):
+        above = y > j
+        share = np.clip(above.mean(), 1e-3, 1 - 1e-3)
+        yes = np.bincount(bucket, above[owner], BUCKETS)
+        evidence = np.zeros(BUCKETS)
+        for part, p in ((yes, share), (having - yes, 1 - share)):
+            evidence += 2 * part * np.log(np.maximum(part, 1e-9) / (np.maximum(having, 1) * p))
+        most = np.maximum(most, evidence)
+    root = np.sqrt(most / np.maximum(having, 1))
+    return np.where(having >= LEAST, root * most / (most + DOUBT), 0.0)
+
+
 def fit(texts: Sequence[str], grades: Sequence[int]) -> Model:
     """Cumulative-link model: P(grade > g_j) = sigmoid(score - threshold_j), score a weighted
     sum of features. Thresholds are kept in order by fitting the logarithm of their steps."""
@@ -92,9 +113,8 @@ def fit(texts: Sequence[str], grades: Sequence[int]) -> Model:
         for x in zip(*[(o + a, b, v) for a, e in chunks(texts) for o, b, v in [features(texts[a:e])]])
     )
     n, k = len(y), len(levels) - 1
-    having = np.bincount(bucket, minlength=BUCKETS)
-    rarity = np.where(having >= max(8, SEEN * n), np.log((1 + n) / np.maximum(having, 1)), 0.0)
-    owner, bucket, value = _weighed(owner, bucket, value, rarity, n)
+    telling = _telling(owner, bucket, y, k)
+    owner, bucket, value = _weighed(owner, bucket, value, telling, n)
     share = np.clip([(y > j).mean() for j in range(k)], 1e-3, 1 - 1e-3)
     start = -np.log(share / (1 - share))
     first, steps = start[0], np.log(np.maximum(np.diff(start), 0.1))
@@ -120,13 +140,13 @@ def fit(texts: Sequence[str], grades: Sequence[int]) -> Model:
         move = 0.1 * chain / np.sqrt(speed_t)
         first, steps = first + move[0], steps + move[1:]
     thresholds = first + np.concatenate(([0.0], np.cumsum(np.exp(steps))))
-    return Model(levels, weights.astype(np.float32), rarity.astype(np.float32), thresholds)
+    return Model(levels, weights.astype(np.float32), telling.astype(np.float32), thresholds)
 
 
 def _scores(model: Model, texts: list[str | None]) -> pd.DataFrame:
     score = np.zeros(len(texts))
     for a, b in chunks(texts):
-        owner, bucket, value = _weighed(*features(texts[a:b]), model.rarity, b - a)
+        owner, bucket, value = _weighed(*features(texts[a:b]), model.telling, b - a)
         score[a:b] = np.bincount(owner, model.weights[bucket] * value, b - a)
     tail = model.at_least(score)
     grades = np.array(model.grades, float)
