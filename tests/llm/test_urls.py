@@ -45,3 +45,17 @@ def test_native_plan(frame):
     captures = frame([(1, "http://a.example/", D(2024, 1, 1))], "page_id int, url string, fetched_on date")
     plan = urls.evaluate(captures, entries)._jdf.queryExecution().toString()
     assert "Python" not in plan and "CartesianProduct" not in plan
+
+
+def test_paths_keep_their_case(frame):
+    entries = frame(
+        [("Bad.example/News", "block", D(2024, 1, 1)), ("bad.example/news/A", "allow", D(2024, 1, 1))],
+        "key string, verdict string, since date",
+    )
+    cases = [
+        ("http://BAD.example/News/x", "block", "bad.example/News"), ("http://bad.example/news", "none", None),
+        ("http://bad.example/news/A/x", "allow", "bad.example/news/A"), ("http://bad.example/news/a", "none", None),
+    ]
+    captures = frame([(i, u, D(2024, 1, 2)) for i, (u, *_) in enumerate(cases)], "page_id int, url string, fetched_on date")
+    got = {r["page_id"]: (r["verdict"], r["matched"]) for r in urls.evaluate(captures, entries).collect()}
+    assert got == {i: (v, m) for i, (_, v, m) in enumerate(cases)}

@@ -47,6 +47,12 @@ def rule_keys(url: Column, depth: Column) -> Column:
     return F.when(host(url).isNotNull(), F.concat(domains, paths))
 
 
+def _listed(key: Column) -> Column:
+    """A list entry's key, its host in lower case; a path keeps its case, as in ``rule_keys``."""
+    name = F.substring_index(key, "/", 1)
+    return F.concat(F.lower(name), F.substring(key, F.length(name) + 1, F.length(key)))
+
+
 def validity(entries: DataFrame) -> DataFrame:
     """(key, verdict, since, until) from dated entries (key, verdict, since): an entry holds
     until the next one of its key, the last one without end (null).
@@ -57,7 +63,7 @@ def validity(entries: DataFrame) -> DataFrame:
     """
     order = F.when(F.col("verdict") == "block", 3).when(F.col("verdict") == "allow", 2).when(F.col("verdict") == "remove", 1)
     days = (
-        entries.select(F.lower("key").alias("key"), F.col("since").cast("date").alias("since"), order.alias("order"))
+        entries.select(_listed(F.col("key")).alias("key"), F.col("since").cast("date").alias("since"), order.alias("order"))
         .filter("key IS NOT NULL AND since IS NOT NULL AND order IS NOT NULL")
         .groupBy("key", "since")
         .agg(F.max("order").alias("order"))
