@@ -80,3 +80,18 @@ def test_empty_table_and_native_plan(frame):
     found = pii.find(frame([], "doc_id long, text string"))
     assert found.count() == 0
     assert "Python" not in found._jdf.queryExecution().toString()
+
+
+def test_terms_are_counted_and_marked_in_whole_documents(frame):
+    filler = "some plain words about weather and trade"
+    rows = [(i, f"{filler} number {'abcdefghij'[i % 10] * 4} text corp") for i in range(60)]
+    rows += [(100 + i, f"Kestrel {'qrst'[i] * 5} QX n7x4 {filler * 4} boss@corp.example") for i in range(3)]
+    rows += [(200, "The Kestrel flies")]
+    docs = frame(rows, "doc_id long, text string")
+    text = dict(rows)
+    marked = {
+        r["doc_id"]: {text[r["doc_id"]][int(a) : int(b)] for s in r["spans"].split(",") if s.startswith("term") for _, a, b in [s.split(":")]}
+        for r in pii.digest(pii.find(docs, generalise=0.85)).collect()
+    }
+    assert all({"Kestrel", "QX", "n7x4"} <= marked[i] and not marked[i] & {"plain", "weather"} for i in (100, 101, 102))
+    assert marked[200] == {"Kestrel"} and not any(marked[i] for i in range(60))

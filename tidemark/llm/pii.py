@@ -19,12 +19,11 @@ PATTERNS = {
 }
 _BYTE = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9]?)"
 KINDS = (*PATTERNS, "term")
-#: Code points on either side of an entity that are its context.
-CONTEXT = 80
 #: Share of an entity's information that a term may reveal before it is generalised, and
 #: the share from which on it is removed.
 GENERALISE, REMOVE = 0.9, 1.0
-WORD = r"\p{L}{3,40}"
+#: What a term can be: a run of letters and digits, in lower case; single ones are none.
+TOKEN = r"[\p{L}\p{M}\p{N}]+"
 
 _SPAN = "struct<kind:string,start:int,end:int,value:string>"
 
@@ -87,7 +86,29 @@ def pattern_spans(df: DataFrame, text: str, into: str) -> DataFrame:
 
 
 def _words(text: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(rf"(?<!\p{{L}}){WORD}(?!\p{{L}})"), F.lit(0)))
+    found = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0)))
+    return F.filter(found, lambda w: F.length(w) > 1)
+
+
+def _outside(text: Column) -> Column:
+    """The text with a space in place of its base spans, whose words are no terms."""
+    ordered = F.array_sort(F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+    pieces = F.aggregate(
+        ordered,
+        start,
+        lambda acc, s: F.struct(
+            F.greatest(acc["at"], s["end"]).alias("at"),
+            F.when(
+                s["start"] >= acc["at"],
+                F.concat(acc["parts"], F.array(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]))),
+            )
+            .otherwise(acc["parts"])
+            .alias("parts"),
+        ),
+        lambda acc: F.concat(acc["parts"], F.array(F.substring(text, acc["at"] + 1, F.length(text)))),
+    )
+    return F.when(F.size("base") > 0, F.array_join(pieces, " ")).otherwise(text)
 
 
 def _entity(span: Column) -> Column:
@@ -100,48 +121,49 @@ def _entity(span: Column) -> Column:
     )
 
 
-def _context(text: Column, span: Column) -> Column:
-    """Whole words within CONTEXT code points of a span."""
-    cut = F.greatest(span["start"] - CONTEXT, F.lit(0))
-    before = F.substring(text, cut + 1, span["start"] - cut)
-    before = F.when(cut > 0, F.regexp_replace(before, r"^\p{L}+", "")).otherwise(before)
-    after = F.substring(text, span["end"] + 1, F.lit(CONTEXT))
-    after = F.when(F.length(after) == CONTEXT, F.regexp_replace(after, r"\p{L}+$", "")).otherwise(after)
-    return _words(F.concat(before, F.lit(" "), after))
-
-
-def revealing_terms(mentions: DataFrame, docs: DataFrame, text: str, total: int, generalise: float) -> DataFrame:
+def revealing_terms(mentions: DataFrame, words: DataFrame, total: int, generalise: float) -> DataFrame:
     """(entity, term, share): terms that give away at least ``generalise`` of an entity.
 
     With probabilities as shares of documents, a term reveals PMI(term; entity), and the
     entity holds -log p(entity); share is their ratio, 1 when the term occurs in no document
     without the entity. Only what two different texts support counts. ``mentions`` has row
-    number, text hash, entity and term; document counts of words cover all of ``docs``.
+    number, text hash and entity, ``words`` row number and term, each pair once; both are of
+    whole documents. An entity or term of one text alone, and a term in more documents than
+    the threshold allows even if all the entity's have it, are left out before they are paired.
     """
-    pairs = (
-        mentions.filter("term IS NOT NULL")
-        .groupBy("entity", "term")
-        .agg(
-            F.count(F.lit(1)).alias("together"),
-            F.min("hash").alias("one"),
-            F.max("hash").alias("other"),
-        )
+    entities = (
+        mentions.groupBy("entity")
+        .agg(F.count(F.lit(1)).alias("with_entity"), F.min("hash").alias("one"), F.max("hash").alias("other"))
         .filter("one <> other")
+        .select("entity", "with_entity")
     )
-    entities = (
-        mentions.select("rid", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity"))
+    information = F.log(F.lit(float(max(total, 2))) / F.col("with_entity"))
+    held = settle(
+        mentions.join(entities, "entity").withColumn(
+            "most", F.col("with_entity") * F.exp((1 - generalise) * information) * (1 + 1e-9)
+        )
     )
-    words = (
-        docs.select(F.explode(_words(F.col(f"`{text}`"))).alias("term"))
-        .groupBy("term")
+    most = held.agg(F.coalesce(F.max("most"), F.lit(0.0)).alias("most")).first()["most"]
+    counts = (
+        words.groupBy("term")
         .agg(F.count(F.lit(1)).alias("with_term"))
+        .filter((F.col("with_term") > 1) & (F.col("with_term") <= most))
     )
-    information = F.log(F.lit(float(max(total, 2))) / F.col("with_entity"))
+    beside = words.join(held.select("rid").distinct(), "rid", "left_semi").join(counts, "term")
     lost = F.log(F.greatest(F.col("with_term") / F.col("together"), F.lit(1.0)))
     share = F.when(information > 0, 1 - lost / information).otherwise(F.lit(0.0))
     return (
-        pairs.join(entities, "entity")
-        .join(words, "term")
+        held.join(beside, "rid")
+        .filter(F.col("with_term") <= F.col("most"))
+        .groupBy("entity", "term")
+        .agg(
+            F.count(F.lit(1)).alias("together"),
+            F.min("hash").alias("one"),
+            F.max("hash").alias("other"),
+            F.first("with_entity").alias("with_entity"),
+            F.first("with_term").alias("with_term"),
+        )
+        .filter("one <> other")
         .select("entity", "term", share.alias("share"))
         .filter(F.col("share") >= generalise)
     )
@@ -157,10 +179,10 @@ def find(
 ) -> DataFrame:
     """Personal data in whole texts: one row per row of ``docs``.
 
-    Patterns give the base spans; their values are the protected entities. Words near an
-    entity are weighed by how strongly the corpus ties them to it, and those past the
-    threshold are spans of kind ``term`` wherever they stand in a document that has them near
-    that entity. A term span never overlaps a base span.
+    Patterns give the base spans; their values are the protected entities. Words of documents
+    with an entity are weighed by how strongly the corpus ties them to it, and those past the
+    threshold are spans of kind ``term`` wherever they stand in any document. Words inside
+    base spans are no terms, and a term span never overlaps a base span.
 
     Returns id, ``base`` and ``terms`` (arrays of kind, start, end, value; code points, end
     exclusive; by kind and start), ``removed`` (terms to remove rather than generalise), and
@@ -179,23 +201,22 @@ def find(
         "content",
         "base",
     )
-    if not carry:  # only a text with an entity is needed again
-        found = found.withColumn("content", F.when(F.size("base") > 0, F.col("content")))
-    found = settle(found)
-    near = (
+    # A carried row has the text already.
+    found = settle(found.drop("content") if carry else found)
+    if carry:
+        found = found.withColumn("content", F.coalesce(F.col(f"row.`{text_column}`"), F.lit("")))
+    mentions = (
         found.filter(F.size("base") > 0)
-        .select("rid", "content", F.xxhash64("content").alias("hash"), F.explode("base").alias("span"))
-        .select(
-            "rid",
-            "hash",
-            _entity(F.col("span")).alias("entity"),
-            F.explode_outer(_context(F.col("content"), F.col("span"))).alias("term"),
-        )
+        .select("rid", F.xxhash64("content").alias("hash"), F.explode("base").alias("span"))
+        .select("rid", "hash", _entity(F.col("span")).alias("entity"))
         .distinct()
     )
-    revealing = settle(revealing_terms(near, docs, text_column, total, generalise))
+    words = found.select("rid", F.explode(_words(_outside(F.col("content")))).alias("term"))
+    revealing = settle(
+        revealing_terms(mentions, words, total, generalise).groupBy("term").agg(F.max("share").alias("share"))
+    )
     terms = (
-        near.join(revealing, ["entity", "term"])
+        words.join(revealing, "term")
         .groupBy("rid")
         .agg(
             F.collect_set("term").alias("listed"),
@@ -204,14 +225,14 @@ def find(
     )
     text = F.col("content")
     marked = found.join(terms, "rid", "left").withColumn(
-        "words", F.when(F.col("listed").isNotNull(), F.regexp_extract_all(text, F.lit(r"\p{L}+"), F.lit(0)))
+        "words", F.when(F.col("listed").isNotNull(), F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)))
     )
     none = F.array().cast(f"array<{_SPAN}>")
     spans = F.when(
         F.col("listed").isNotNull(),
         F.filter(
             _located(
-                text, r"\p{L}+", "term", F.col("words"), lambda w: F.array_contains("listed", F.lower(w))
+                text, TOKEN, "term", F.col("words"), lambda w: F.array_contains("listed", F.lower(w))
             ),
             lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
         ),
