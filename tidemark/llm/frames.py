@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.tables import settle
 
-__all__ = ["documents", "packed_row", "settle", "tokenizer_file"]
+__all__ = ["documents", "join_groups", "packed_row", "settle", "tokenizer_file"]
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -33,3 +33,17 @@ def tokenizer_file(name: str, folder: str | None = None) -> Callable[[], str]:
         return public_tokenizers.path(name)
 
     return place
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, on: str, size: str) -> DataFrame:
+    """``rows`` with the columns of ``groups`` by key ``on``; rows of other keys go.
+
+    ``groups`` has a row per key, with the number of its rows in column ``size``. Keys that hold
+    more than a thousandth of all rows are fewer than a thousand: those are broadcast, and their
+    rows stay where they are. Rows of all other keys meet theirs in a shuffle.
+    """
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    often = F.col(size) > max(total // 1000, 1)
+    hot = F.broadcast(groups.filter(often))
+    rest = rows.join(hot.select(on), on, "left_anti").join(groups.filter(~often), on)
+    return rows.join(hot, on).unionByName(rest)
