@@ -54,5 +54,5 @@ def test_stages_keep_the_columns_of_documents(spark, folder):
 
 def test_every_operator_has_its_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5

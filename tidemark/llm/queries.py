@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import counts, exact, language, merkle, packing, pieces, pii, quality, simhash, urls
+from tidemark.llm import (
+    counts,
+    exact,
+    interactions,
+    language,
+    lattice,
+    merkle,
+    packing,
+    pieces,
+    pii,
+    quality,
+    shallot,
+    simhash,
+    urls,
+)
 from tidemark.llm.frames import documents, tokenizer_file
 
 QUERIES, SQL = {}, {}
@@ -209,3 +223,103 @@ def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     rating = F.col("quality") + 1 - F.col("toxic")
     graded = quality.grade(documents(spark, folder), labels, rating)
     return graded.select("doc_id", "expected_grade", "p_top", "selected")
+
+
+def _embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/embeddings.parquet")
+
+
+@_query
+def op11_filter_interactions(spark: SparkSession, folder: str) -> DataFrame:
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return interactions.filter_audit(documents(spark, folder), labels)
+
+
+SQL["op11_filter_interactions"] = r"""
+WITH texts AS (
+  SELECT d.doc_id, coalesce(d.lang, '') AS part, coalesce(d.text, '') AS text,
+    regexp_extract_all(coalesce(d.text, ''), '[^\x20\x09-\x0D]+') AS words,
+    coalesce(l.good, false) AS good, coalesce(l.toxic, false) AS toxic
+  FROM documents d LEFT JOIN (
+    SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id) l
+    ON l.doc_id = d.doc_id),
+judged AS (
+  SELECT part, good, toxic,
+    CAST(len(words) < 100 AS INTEGER)
+    + 2 * CAST(100 * len(list_distinct(words)) < 80 * len(words) AS INTEGER)
+    + 4 * CAST(100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) AS INTEGER)
+    + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INTEGER)
+    + 16 * CAST(coalesce(min(doc_id) OVER (PARTITION BY text) < doc_id, false) AS INTEGER) AS fails
+  FROM texts),
+masks AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM judged GROUP BY ALL),
+letters AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS v(letter, bit)),
+orders AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order,
+    [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+steps AS (
+  SELECT filter_order, step, bits[step] AS bit,
+    CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS INTEGER) AS before
+  FROM orders, unnest([1, 2, 3, 4, 5]) AS s(step)),
+counted AS (
+  SELECT part, filter_order, CAST(step AS INTEGER) AS step, bit,
+    sum(CASE WHEN fails & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN fails & before = 0 AND fails & bit <> 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN fails & before <> 0 AND fails & bit <> 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN fails = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN fails & before = 0 AND fails & bit <> 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN fails & before = 0 AND fails & bit <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM masks, steps GROUP BY ALL)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM counted
+"""
+
+
+@_query
+def op12_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    return shallot.cluster(_embeddings(spark, folder), k=8, rounds=10, dims=64, scale=1024, prefix="3:")
+
+
+def _clustering_sql(k: int, rounds: int, dims: int) -> str:
+    """Every round as a pair of tables: distances to all centroids, then exact floors of means."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+near{r} AS MATERIALIZED (
+  SELECT id, v, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+    SELECT x.id, x.v, x.rid, m.c, list_sum(list_transform(list_zip(x.v, m.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d
+    FROM whole x, centroids{r} m) GROUP BY id, v, rid)""")
+        if r < rounds:
+            steps.append(f"""
+centroids{r + 1} AS MATERIALIZED (
+  SELECT old.c, coalesce(new.v, old.v) AS v FROM centroids{r} old LEFT JOIN (
+    SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v FROM (
+      SELECT c, i, sum(x) AS s, count(*) AS n FROM (
+        SELECT c, unnest(v) AS x, unnest(range({dims})) AS i FROM near{r}) GROUP BY c, i) GROUP BY c) new ON new.c = old.c)""")
+    return f"""
+WITH whole AS MATERIALIZED (
+  SELECT vec_id AS id, row_number() OVER () AS rid, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dims}),
+centroids0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('3:' || id) NULLS LAST, v) - 1 AS INTEGER) AS c, v FROM whole
+  QUALIFY c < {k}),{",".join(steps)}
+SELECT n.id AS vec_id, n.c AS cluster, CAST(n.d AS BIGINT) AS distance,
+  CAST(sum(n.d) OVER (PARTITION BY n.c) AS BIGINT) AS cluster_inertia, CAST(sum(n.d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(m.v, ',')) AS centroid_sha256
+FROM near{rounds} n JOIN centroids{rounds} m ON m.c = n.c
+"""
+
+
+SQL["op12_centroid_clustering"] = _clustering_sql(k=8, rounds=10, dims=64)
+
+
+@_query
+def op13_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.near_duplicates(_embeddings(spark, folder), cosine=0.95)
