@@ -11,20 +11,20 @@ from pyspark.sql import functions as F
 from tests.conftest import rows_of
 from tidemark.operators.merge import merge
 from tidemark.plans.batch import Layout, open_batch, run_batch
-from tidemark.plans.load import compact_summary, load_silver, load_summary, publish_silver, publish_summary
+from tidemark.plans.load import load_silver, load_summary, publish_silver, publish_summary
 from tidemark.plans import silver
 from tidemark.plans.steps import delete_step, drift_step, quality_step
 from tidemark.sources import schemas
+from tidemark.sources.parted import PART, merge_into, parts_of, rows_in, rows_name
 from tidemark.sources.tables import (
     StateChanged,
     append,
+    current_version,
     drop,
     empty,
     exists,
-    parts,
     prune,
     publish,
-    publish_over,
     read,
     replace_partitions,
     settle,
@@ -53,7 +53,7 @@ def test_old_versions_are_pruned(spark, frame):
     prune(spark, "t_versions", keep=2)
     assert len(versions(spark, "t_versions")) == 2
     prune(spark, "t_versions", keep=0)
-    assert versions(spark, "t_versions") == parts(spark, "t_versions")
+    assert versions(spark, "t_versions") == [current_version(spark, "t_versions")]
     assert rows_of(read(spark, "t_versions")) == [(3,)]
     with pytest.raises(ValueError):
         prune(spark, "t_versions", keep=-1)
@@ -61,30 +61,67 @@ def test_old_versions_are_pruned(spark, frame):
     assert not exists(spark, "t_versions") and versions(spark, "t_versions") == []
 
 
-def test_publish_over_keeps_rows_where_they_are(spark, frame):
-    ddl = "k int, flg string"
-    publish(frame([(1, "N"), (2, "Y"), (3, None)], ddl), "t_over", partition_by=["flg"])
-    kept = "flg IS NULL OR flg <> 'Y'"
-    publish_over(frame([(2, "N"), (4, "Y")], ddl), "t_over", kept, partition_by=["flg"])
-    assert rows_of(read(spark, "t_over")) == [(1, "N"), (2, "N"), (3, None), (4, "Y")]
-    publish_over(frame([(4, "N")], ddl), "t_over", kept, partition_by=["flg"])
-    assert rows_of(read(spark, "t_over"), "k") == [(1,), (2,), (3,), (4,)]
-    assert len(parts(spark, "t_over")) == 3
-    prune(spark, "t_over", keep=0)
-    assert read(spark, "t_over").count() == 4
-    # Of older parts only the kept partitions are read.
-    plan = read(spark, "t_over")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("PartitionFilters: [(isnull(flg") == 2
-    publish(read(spark, "t_over"), "t_over")
-    assert len(parts(spark, "t_over")) == 1 and read(spark, "t_over").count() == 4
-
-
-def test_publish_over_remembers_earlier_conditions(spark, frame):
-    ddl = "k int, v int"
-    publish(frame([(1, 0), (2, 0), (3, 0)], ddl), "t_layers")
-    publish_over(frame([(1, 1)], ddl), "t_layers", "k <> 1")
-    publish_over(frame([(2, 2)], ddl), "t_layers", "k <> 2")
-    assert rows_of(read(spark, "t_layers")) == [(1, 1), (2, 2), (3, 0)]
+def upsert(spark, name, rows, **options):
+    """Newest row by key, through the partitions of the table."""
+    change = lambda current: merge(current, rows, "k", duplicates="trust")
+    return merge_into(spark, name, "k string, v int", ["k"], rows, change, **options)
+
+
+def files(spark, name):
+    """The files of each partition."""
+    found = spark.table(rows_name(name)).select(PART, F.input_file_name().alias("f")).distinct().collect()
+    return {(r[PART], r["f"]) for r in found}
+
+
+def test_a_change_rewrites_the_partitions_it_names(spark, frame):
+    ddl = "k string, v int"
+    upsert(spark, "t_parted", frame([(str(i), 0) for i in range(200)], ddl), parts=16)
+    before = files(spark, "t_parted")
+    seen = upsert(spark, "t_parted", frame([("7", 1), ("new", 1)], ddl), measures={"ones": F.sum("v")})
+    assert seen == {"ones": 2}
+    touched = set(parts_of(frame([("7", 1), ("new", 1)], ddl).select("k"), ["k"], 16))
+    after = files(spark, "t_parted")
+    assert {p for p, _ in before ^ after} == touched and len(touched) <= 2
+    want = sorted([(str(i), int(i == 7)) for i in range(200)] + [("new", 1)], key=repr)
+    assert rows_of(read(spark, "t_parted")) == want
+    # Of other partitions nothing is listed.
+    scan = rows_in(spark, "t_parted", sorted(touched))
+    assert all(int(f.split(f"{PART}=")[1].split("/")[0]) in touched for f in scan.inputFiles())
+    drop(spark, "t_parted")
+    assert not exists(spark, "t_parted")
+
+
+def test_a_read_costs_the_same_after_ten_loads(spark, frame):
+    def shape():
+        plan = read(spark, "t_ten")._jdf.queryExecution().executedPlan().toString()
+        return plan.count("Scan"), plan.count("Join"), plan.count("Union")
+
+    for n in range(10):
+        upsert(spark, "t_ten", frame([(str(i), n) for i in range(n, n + 3)], "k string, v int"), parts=4)
+        assert shape() == (1, 0, 0)
+    assert rows_of(read(spark, "t_ten")) == sorted(((str(i), min(i, 9)) for i in range(12)), key=repr)
+
+
+def test_keyless_rows_stay_and_emptied_partitions_go(spark, frame):
+    ddl = "k string, v int"
+    upsert(spark, "t_null", frame([(None, 1), (None, 2), ("", 3), ("a", 4)], ddl), parts=4)
+    for _ in range(2):
+        upsert(spark, "t_null", frame([(str(i), 5) for i in range(20)] + [(None, 6)], ddl))
+    rows = [(None, 1), (None, 2), ("", 3), ("a", 4), (None, 6), (None, 6)] + [(str(i), 5) for i in range(20)]
+    assert rows_of(read(spark, "t_null")) == sorted(rows, key=repr)
+    every = read(spark, "t_null")
+    merge_into(spark, "t_null", ddl, ["k"], settle(every), lambda rows: rows.filter("v = 4"))
+    assert rows_of(read(spark, "t_null")) == [("a", 4)]
+    merge_into(spark, "t_null", ddl, ["k"], frame([("z", 9)], ddl), lambda rows: merge(rows, frame([("z", 9)], ddl), "k"), anew=True)
+    assert rows_of(read(spark, "t_null")) == [("z", 9)]
+
+
+def test_rows_outside_the_named_partitions_fail(spark, frame):
+    ddl = "k string, v int"
+    upsert(spark, "t_out", frame([("a", 1)], ddl), parts=64)
+    with pytest.raises(Exception, match="falls outside"):
+        merge_into(spark, "t_out", ddl, ["k"], frame([("a", 2)], ddl), lambda rows: merge(rows, frame([("b", 2)], ddl), "k"))
+    assert rows_of(read(spark, "t_out")) == [("a", 1)]
 
 
 def summary_inputs(spark, frame, amount, day):
@@ -102,31 +139,18 @@ def summary_inputs(spark, frame, amount, day):
 def test_a_closed_version_that_returns_is_taken_out_of_its_part(spark, frame):
     """b: 1 -> 2 -> 3 -> 1. The last load brings back a closed version."""
     name, whole = "t_summary", empty(spark, schemas.PAYMENT_SUMMARY)
-    sizes = []
     for n, amount in enumerate(["1", "2", "3", "1"]):
         payments, applications = summary_inputs(spark, frame, amount, "2024-01-01")
         payments = payments.withColumn("src_load_ts", F.col("src_load_ts") + F.make_dt_interval(F.lit(n)))
         run = {"batch_id": str(n), "now": f"2024-02-0{n + 1}"}
-        publish_summary(spark, name, payments, applications, **run)
+        publish_summary(spark, name, payments, applications, parts=4, **run)
         whole = settle(load_summary(whole, payments, applications, **run))
         assert rows_of(read(spark, name)) == rows_of(whole)
-        sizes.append(len(parts(spark, name)))
-    assert sizes[0] == 1 and sizes[-1] > 4  # parts and the keys they replace
     got = read(spark, name).filter("application_id = 'b'").orderBy("start_ts")
     assert [(int(r["total_payments"]), r["active_flg"]) for r in got.collect()] == [(2, "N"), (3, "N"), (1, "Y")]
 
 
-def test_compaction_gives_one_part_and_the_same_rows(spark, frame):
-    for n in range(4):
-        payments, applications = summary_inputs(spark, frame, str(n % 2), "2024-01-01")
-        payments = payments.withColumn("src_load_ts", F.col("src_load_ts") + F.make_dt_interval(F.lit(n)))
-        publish_summary(spark, "t_compact", payments, applications, batch_id="1", now="2024-02-01")
-    before = rows_of(read(spark, "t_compact"))
-    compact_summary(spark, "t_compact")
-    assert len(parts(spark, "t_compact")) == 1 and rows_of(read(spark, "t_compact")) == before
-
-
-def test_a_small_increment_writes_few_rows(spark):
+def test_a_small_increment_rewrites_one_partition(spark):
     """One payment on a table of 5,000 entities; then one that brings a closed version back."""
     def payments(ids, amount, day):
         return ids.select(
@@ -137,16 +161,16 @@ def test_a_small_increment_writes_few_rows(spark):
 
     applications = empty(spark, schemas.APPLICATION)
     loads = [(spark.range(5000), 1, "2024-01-01"), (spark.range(7, 8), 2, "2024-01-02"), (spark.range(7, 8), 1, "2024-01-03")]
-    whole, size = empty(spark, schemas.PAYMENT_SUMMARY), []
+    whole, changed = empty(spark, schemas.PAYMENT_SUMMARY), []
     for n, (ids, amount, day) in enumerate(loads):
         run = {"batch_id": str(n), "now": f"2024-02-0{n + 1}"}
         # The increment brings the payments of its day alone, but their date is the first's.
         rows = payments(ids, amount, day).withColumn("payment_date", F.lit("2024-01-01").cast("date"))
-        publish_summary(spark, "t_few", rows, applications, **run)
+        before = files(spark, "t_few") if n else set()
+        publish_summary(spark, "t_few", rows, applications, parts=32, **run)
         whole = settle(load_summary(whole, rows, applications, **run))
-        newest = versions(spark, "t_few")[-1]
-        size.append(spark.table(newest).count())
-    assert size[0] == 5000 and max(size[1:]) <= 2
+        changed.append(len({p for p, _ in before ^ files(spark, "t_few")}))
+    assert changed == [32, 1, 1]
     assert rows_of(read(spark, "t_few")) == rows_of(whole)
 
 
@@ -157,10 +181,11 @@ def test_silver_loads_write_their_increment(spark, folder):
     whole = empty(spark, schemas.PAYMENT)
     for n, part in enumerate((first, settle(few), rest)):
         run = {"batch_id": str(n), "now": f"2024-02-0{n + 1}"}
-        publish_silver(spark, "t_silver", schemas.PAYMENT, part, silver.PAYMENT, buckets=4, bucket_by=["payment_id"], **run)
+        before = files(spark, "t_silver") if n else set()
+        publish_silver(spark, "t_silver", schemas.PAYMENT, part, silver.PAYMENT, parts=256, **run)
         whole = settle(load_silver(whole, part, silver.PAYMENT, **run))
         if n == 1:
-            assert spark.table(versions(spark, "t_silver")[-1]).count() <= 20
+            assert len({p for p, _ in before ^ files(spark, "t_silver")}) <= 20
         assert rows_of(read(spark, "t_silver")) == rows_of(whole)
 
 
@@ -290,10 +315,10 @@ def state(spark, names):
     ]
 
 
-@pytest.mark.parametrize("buckets", [0, 4])
-def test_batches_end_to_end(spark, folder, buckets):
+@pytest.mark.parametrize("parts", [4, 64])
+def test_batches_end_to_end(spark, folder, parts):
     applications, payments = application_raw(spark, folder), payment_raw(spark, folder)
-    names = layout(f"e2e{buckets}", buckets=buckets)
+    names = layout(f"e2e{parts}", parts=parts)
     first = run_batch(spark, up_to(applications, MARK[0]), up_to(payments, MARK[0]), "loans", "2024-02-01 00:00:00", names)
     second = run_batch(spark, applications, payments, "loans", "2024-02-02 00:00:00", names)
     assert (first, second) == ("20240201000000000000000", "20240202000000000000000")
@@ -379,6 +404,41 @@ def test_a_broken_batch_is_taken_up_again(spark, folder):
     assert state(spark, names) == state(spark, fresh)
 
 
+def test_a_stopped_batch_shows_what_was_queued(spark, folder):
+    names = layout("queued", parts=4)
+    applications, payments = application_raw(spark, folder), payment_raw(spark, folder)
+    bad = payments.withColumn("raw_json", F.parse_json(F.lit('{"payment_date": "soon"}')))
+    with pytest.raises(Exception, match="INVALID_VARIANT_CAST"):
+        run_batch(spark, applications, bad, "loans", "2024-02-01 00:00:00", names)
+    audit = {r["model_id"]: r["model_load_status"] for r in read(spark, names.audit).collect()}
+    assert audit == {names.applications: "completed", names.payments: "running", names.summary: "yet to start"}
+    counted = rows_of(read(spark, names.audit).filter(F.col("model_id") == names.applications), "rows_inserted", "inc_load_ts")
+    run_batch(spark, applications, payments, "loans", "2024-02-02 00:00:00", names)
+    # What the first attempt loaded is still counted.
+    assert rows_of(read(spark, names.audit).filter(F.col("model_id") == names.applications), "rows_inserted", "inc_load_ts") == counted
+    assert rows_of(read(spark, names.audit), "model_load_status") == [("completed",)] * 3
+
+
+def test_full_reload_and_statements_of_a_batch(spark, folder, frame):
+    names = layout("reload", parts=4)
+    names = layout("reload", parts=4, full_reload=(names.applications,))
+    applications, payments = application_raw(spark, folder), payment_raw(spark, folder)
+    text = f"merge into {names.payments} using 'x'"
+    statements = frame(
+        [("q1", text, "MERGE", datetime(2024, 2, 2)), ("q0", "select 1", "SELECT", datetime(2024, 2, 2))],
+        "query_id string, query_text string, query_type string, end_time timestamp_ntz",
+    )
+    run_batch(spark, applications, payments, "loans", "2024-02-01 00:00:00", names)
+    some = applications.filter(F.col("src_load_ts") <= F.lit(MARK[0]).cast("timestamp_ntz"))
+    batch = run_batch(spark, some, payments, "loans", "2024-02-02 00:00:00", names, statements=statements)
+    assert read(spark, names.applications).count() == some.count()
+    audit = {r["model_id"]: r for r in read(spark, names.audit).filter(F.col("batch_id") == F.lit(batch).cast("decimal(38,0)")).collect()}
+    reloaded, other = audit[names.applications], audit[names.payments]
+    assert (reloaded["rows_inserted"], reloaded["rows_updated"], reloaded["inc_load_ts"]) == (some.count(), 0, None)
+    assert (other["query_id"], other["query_text"]) == ("q1", text.replace("'", "''"))
+    assert other["rows_inserted"] is None  # nothing new
+
+
 def test_watermark_is_strict_and_reaches_the_scan(spark, frame, folder):
     start = datetime(2024, 1, 1)
     rows = frame([(i, start + timedelta(days=i)) for i in range(3)], "n int, src_load_ts timestamp_ntz")

@@ -29,6 +29,11 @@ PAYMENT_SUMMARY = (
     "start_ts timestamp_ntz, end_ts timestamp_ntz, active_flg string, reporting_flg string, "
     "batch_id decimal(38,0), etl_load_ts timestamp_ntz, etl_updt_ts timestamp_ntz"
 )
+PAYMENT_SUMS = (
+    "hash_sk string, application_id string, payment_date date, payment_status string, "
+    "src_load_ts timestamp_ntz, amount decimal(28,2), amounts bigint, payments bigint, "
+    "batch_id decimal(38,0)"
+)
 BATCH_LEDGER = (
     "pipeline_name string, batch_id decimal(38,0), batch_status string, "
     "start_ts timestamp_ntz, end_ts timestamp_ntz"

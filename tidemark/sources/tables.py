@@ -1,9 +1,8 @@
-"""Catalog tables as immutable versions behind a view.
+"""Catalog tables whose states are written whole, each behind the view of the table's name.
 
-Spark cannot overwrite a parquet table that the same plan reads. So a new state is
-written as a new table, and the view of the table's name is switched to it: readers see
-either state, a failed write leaves the old one, and a plan built before keeps reading
-the version it was planned on.
+For ledgers, logs and other small tables: a new state is a new table, and the view is switched
+to it, so readers see either state and a plan built before keeps reading the one it was planned
+on. Large tables are kept in partitions by key, see ``parted``.
 """
 
 from __future__ import annotations
@@ -14,7 +13,6 @@ import uuid
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,14 +28,14 @@ class StateChanged(RuntimeError):
 
 
 def exists(spark: SparkSession, name: str) -> bool:
-    return spark.catalog.tableExists(_checked(name))
+    return spark.catalog.tableExists(checked_name(name))
 
 
 def read(spark: SparkSession, name: str, schema: str | None = None) -> DataFrame:
     """The table's current state; an empty frame of ``schema`` before its first write."""
     if schema is not None and not exists(spark, name):
         return empty(spark, schema)
-    return spark.table(_checked(name))
+    return spark.table(checked_name(name))
 
 
 def empty(spark: SparkSession, schema: str) -> DataFrame:
@@ -70,7 +68,10 @@ def publish(
     since, nothing is switched and StateChanged is raised.
     """
     written = _write(df, name, partition_by, bucket_by, buckets)
-    return _switch(df, name, [f"SELECT {_columns(df)} FROM {written}"], based_on)
+    if based_on is not None and state(df.sparkSession, name) != based_on:
+        raise StateChanged(f"{name} was published by another writer")
+    df.sparkSession.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {_columns(df)} FROM {written}")
+    return df.sparkSession.table(name)
 
 
 def update(
@@ -95,68 +96,14 @@ def update(
     raise ValueError("attempts counts at least one")
 
 
-@dataclass(frozen=True)
-class Replaced:
-    """Rows that a publish replaces: those whose ``on`` columns are in ``keys``, as far as
-    ``where`` (SQL over the table) holds for them. NULL keys replace nothing."""
-
-    keys: DataFrame
-    on: tuple[str, ...]
-    where: str = "true"
-
-
-def publish_over(
-    df: DataFrame,
-    name: str,
-    kept: str | Sequence[Replaced],
-    *,
-    partition_by: Sequence[str] = (),
-    based_on: str | None = None,
-) -> DataFrame:
-    """Switch to ``df`` plus the rows of the current state that are kept.
-
-    Only ``df`` is written, and the keys of what it replaces; kept rows stay in the versions
-    they are in. ``kept`` is a SQL condition, or what is replaced, by key. Every call adds a
-    part, and with keys a join, to what readers do: ``compact`` when that tells.
-    """
-    spark = df.sparkSession
-    current = f"SELECT {_columns(df)} FROM ({_view_text(spark, name)})"
-    if isinstance(kept, str):
-        current = f"{current} WHERE {kept}"
-    else:
-        for replaced in kept:
-            keys = _write(replaced.keys.select(*replaced.on).distinct(), name, (), (), 0)
-            same = " AND ".join(f"t.`{c}` = k.`{c}`" for c in replaced.on)
-            current = (
-                f"SELECT {_columns(df)} FROM ({current}) AS t "
-                f"LEFT ANTI JOIN {keys} AS k ON {same} AND ({replaced.where})"
-            )
-    written = _write(df, name, partition_by, (), 0)
-    return _switch(df, name, [f"SELECT {_columns(df)} FROM {written}", current], based_on)
-
-
-def compact(
-    spark: SparkSession,
-    name: str,
-    *,
-    partition_by: Sequence[str] = (),
-    bucket_by: Sequence[str] = (),
-    buckets: int = 0,
-) -> DataFrame:
-    """Write a table's current state as one part."""
-    layout = {"partition_by": partition_by, "bucket_by": bucket_by, "buckets": buckets}
-    return publish(read(spark, name), name, based_on=state(spark, name), **layout)
-
-
-def parts(spark: SparkSession, name: str) -> list[str]:
-    """The written versions that the table's current state reads, newest first."""
-    found = re.findall(rf"{re.escape(_checked(name))}{_VERSION}\b", _view_text(spark, name))
-    return list(dict.fromkeys(found))
+def current_version(spark: SparkSession, name: str) -> str:
+    """The written version that the table's current state reads."""
+    return re.search(rf"{re.escape(checked_name(name))}{_VERSION}\b", _view_text(spark, name)).group()
 
 
 def versions(spark: SparkSession, name: str) -> list[str]:
     """The written versions of a table, oldest first."""
-    database, _, table = _checked(name).rpartition(".")
+    database, _, table = checked_name(name).rpartition(".")
     found = spark.catalog.listTables(database or None, f"{table}__*")
     prefix = f"{database}." if database else ""
     ours = re.compile(re.escape(table) + _VERSION, re.IGNORECASE)
@@ -170,16 +117,19 @@ def prune(spark: SparkSession, name: str, keep: int = 2) -> None:
     on a dropped one fails."""
     if keep < 0:
         raise ValueError("keep counts versions")
-    current = set(parts(spark, name))
+    current = current_version(spark, name)
     written = versions(spark, name)
     for version in written[: max(0, len(written) - keep)]:
-        if version not in current:
+        if version != current:
             spark.sql(f"DROP TABLE {version}")
 
 
 def drop(spark: SparkSession, name: str) -> None:
-    """Drop a table with all its versions."""
-    spark.sql(f"DROP VIEW IF EXISTS {_checked(name)}")
+    """Drop a table with all its versions, or with its partitions."""
+    if exists(spark, name):
+        kind = "VIEW" if spark.catalog.getTable(name).tableType == "VIEW" else "TABLE"
+        spark.sql(f"DROP {kind} {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {checked_name(name)}__rows")
     for version in versions(spark, name):
         spark.sql(f"DROP TABLE {version}")
 
@@ -273,7 +223,7 @@ def _write(
     df: DataFrame, name: str, partition_by: Sequence[str], bucket_by: Sequence[str], buckets: int
 ) -> str:
     # Names sort by age; the random part keeps two writers apart.
-    version = f"{_checked(name)}__{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
+    version = f"{checked_name(name)}__{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
     writer = df.write.format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -288,23 +238,15 @@ def _write(
 
 
 def _view_text(spark: SparkSession, name: str) -> str:
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {_checked(name)}")
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {checked_name(name)}")
     return described.filter(F.col("col_name") == "View Text").first()["data_type"]
 
 
-def _switch(df: DataFrame, name: str, selects: list[str], based_on: str | None) -> DataFrame:
-    spark = df.sparkSession
-    if based_on is not None and state(spark, name) != based_on:
-        raise StateChanged(f"{name} was published by another writer")
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS " + " UNION ALL ".join(selects))
-    return spark.table(name)
-
-
 def _columns(df: DataFrame) -> str:
     return ", ".join(f"`{c}`" for c in df.columns)
 
 
-def _checked(name: str) -> str:
+def checked_name(name: str) -> str:
     if not _NAME.fullmatch(name):
         raise ValueError(f"not a table name: {name!r}")
     return name

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.plans.load import publish_silver
 from tidemark.plans.silver import SilverTable
-from tidemark.sources.tables import prune
+from tidemark.sources.parted import PARTS
 
 
 def follow_raw(
@@ -40,30 +40,19 @@ def follow_raw(
 
 
 def silver_increment(
-    name: str,
-    schema: str,
-    table: SilverTable,
-    batch_id,
-    now,
-    *,
-    bucket_by: Sequence[str] = (),
-    buckets: int = 0,
-    keep_versions: int = 2,
+    name: str, schema: str, table: SilverTable, batch_id, now, *, parts: int = PARTS
 ) -> Callable[[DataFrame, int], None]:
     """An ``on_increment`` that merges raw rows into the silver table ``name``.
 
     ``batch_id`` and ``now`` are values for all increments, or functions of an increment's
-    number. The table keeps the layout it is first written in, and versions that its state no
-    longer reads go, but for the newest ``keep_versions``.
+    number. An increment rewrites the partitions that its keys fall into.
     """
 
     def merge_increment(raw: DataFrame, number: int) -> None:
-        spark = raw.sparkSession
         run = {
             "batch_id": batch_id(number) if callable(batch_id) else batch_id,
             "now": now(number) if callable(now) else now,
         }
-        publish_silver(spark, name, schema, raw, table, bucket_by=bucket_by, buckets=buckets, **run)
-        prune(spark, name, keep_versions)
+        publish_silver(raw.sparkSession, name, schema, raw, table, parts=parts, **run)
 
     return merge_increment
