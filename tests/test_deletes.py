@@ -1,9 +1,12 @@
+import random
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
+from tidemark.operators import deletes as deletes_module
+from tidemark.operators.bands import Within
 from tidemark.operators.deletes import (
     capture_deletes,
     count_deletes,
@@ -113,3 +116,86 @@ def test_deleted_and_kept_rows_make_up_the_table(spark, folder):
     kept = delete_hard(orders, gone, {"o_custkey": "o_custkey"})
     dropped = orders.join(gone.distinct(), "o_custkey", "left_semi")
     assert kept.count() + dropped.count() == orders.count()
+
+
+RANGES = "low double, high double, g string"
+
+
+def _ranged(frame, kind):
+    rng = random.Random(5)
+    values = [rng.uniform(-1000, 1000) for _ in range(300)] + [0.0, -5.0, 5.0, None, float("nan"), float("inf")]
+    rows = frame([(v, rng.choice("ab"), "Y", "Y", None, T1) for v in values], "x double, grp string, active_flg string, reporting_flg string, end_ts timestamp_ntz, etl_updt_ts timestamp_ntz")
+    spans = [(a, a + rng.choice([0, 1, 3, 500]), rng.choice("ab")) for a in (rng.uniform(-1000, 1000) for _ in range(60))]
+    spans += [(5.0, 5.0, "a"), (9.0, 1.0, "a"), (None, 4.0, "a"), (4.0, None, "b"), (float("nan"), 3.0, "b"), spans[0]]
+    casts = {"double": lambda c: F.col(c), "bigint": lambda c: F.when(F.abs(F.col(c)) < 1e9, F.round(c)).cast("long"),
+             "date": lambda c: F.when(F.abs(F.col(c)) < 1e9, F.date_add(F.lit("2024-01-01").cast("date"), F.round(c).cast("int"))),
+             "ntz": lambda c: F.when(F.abs(F.col(c)) < 1e9, F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=F.round(c, 3).cast("decimal(18,6)")))}
+    cast = casts[kind]
+    ranges = frame(spans, RANGES).withColumn("low", cast("low")).withColumn("high", cast("high"))
+    return rows.withColumn("x", cast("x")), ranges
+
+
+@pytest.mark.parametrize("kind", ["double", "bigint", "date", "ntz"])
+def test_ranges_equal_every_pair_compared(frame, kind):
+    rows, ranges = _ranged(frame, kind)
+    spans = [r for r in ranges.collect() if r["low"] is not None and r["high"] is not None and r["low"] == r["low"]]
+
+    def covered(r, same):
+        x = r["x"]
+        if x is None or x != x or x == float("inf"):
+            return False
+        return any(s["low"] <= x <= s["high"] and (not same or s["g"] == r["grp"]) for s in spans)
+
+    within, same = Within("x", "low", "high"), F.col("s.g") == F.col("t.grp")
+    every = rows.collect()
+    for condition in (None, same):
+        want = sorted((repr(r["x"]) for r in every if not covered(r, condition is not None)))
+        kept = delete_hard(rows, ranges, {}, condition, within=within)
+        assert kept.columns == rows.columns
+        assert sorted(repr(r["x"]) for r in kept.collect()) == want
+        soft = delete_soft(rows, ranges, {}, condition, within=within)
+        assert soft.columns == rows.columns
+        assert sorted(repr(r["x"]) for r in soft.filter("active_flg = 'Y'").collect()) == want
+        assert soft.count() == len(every)
+
+
+def test_ranges_are_joined_by_bins(frame, joins):
+    rows, ranges = _ranged(frame, "double")
+    for plan in (delete_hard(rows, ranges, {}, within=Within("x", "low", "high")),
+                 delete_soft(rows, ranges, {}, within=Within("x", "low", "high"))):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_ranges_beside_keys(frame):
+    gone = frame([(1, T1, T2), (3, T1, T2)], "pk long, a timestamp_ntz, b timestamp_ntz")
+    kept = delete_hard(people(frame), gone, {"id": "pk"}, within=Within("etl_updt_ts", "a", "b"))
+    assert rows_of(kept, "id", "etl_updt_ts") == [(2, T2), (3, T3), (None, T1)]
+
+
+def test_a_soft_delete_on_a_condition_is_one_join(frame, joins):
+    gone = frame([(1, T2), (1, T3), (3, T1)], "pk long, at timestamp_ntz")
+    plan = delete_soft(people(frame), gone, {"id": "pk"}, F.col("s.at") > F.col("t.etl_updt_ts"))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("ExistenceJoin") == 1 and "LeftSemi" not in text and "LeftAnti" not in text
+
+
+def test_rows_that_no_delete_can_match_go_around_the_join(spark, frame):
+    """Deletes above the broadcast limit: most rows do not enter the shuffle."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(20000).select((F.col("id") * 7).alias("k"), F.col("id").cast("string").alias("v"))
+        rows = rows.unionByName(frame([(None, "none")], "k long, v string"))
+        gone = spark.range(3000).select((F.col("id") * 14).cast("int").alias("key"))
+        kept = delete_hard(rows, gone, {"k": "key"})
+        assert kept.count() == 20001 - 3000
+        assert kept.filter("k % 14 = 0 AND k < 42000").count() == 0
+        text = kept._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in text and text.count("LeftAnti") == 1
+        # What enters the exact join is little more than what it deletes.
+        entered = []
+        deletes_module._around_sure(rows.filter("k IS NOT NULL"), gone.distinct(), {"k": "key"}, lambda r: entered.append(r.count()) or r)
+        assert 3000 <= entered[0] <= 3000 + 17000 / 16 * 1.5
+        assert sorted(r[0] for r in delete_hard(rows, gone.limit(0), {"k": "key"}).select("v").collect()) == sorted(r[0] for r in rows.select("v").collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

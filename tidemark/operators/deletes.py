@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -10,13 +10,19 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.names import table_for_view
 from tidemark.functions.times import batch_number, moment
+from tidemark.operators.bands import Within, in_levels
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.merge import merge
+from tidemark.operators.sizing import fits_broadcast
 from tidemark.sources.tables import settle
 
 # Fixed value: the event type that marks a delete in the change archive.
 DELETE_EVENT = "IncrementalDeleteRows"
 
+#: Bits of a bitmap of Spark's, and of all bitmaps that stand for delete keys.
+BUCKET = 32768
+MOST_BITS = 1 << 27
+
 
 def capture_deletes(
     changes: DataFrame,
@@ -105,19 +111,30 @@ def delete_hard(
     deletes: DataFrame,
     keys: Mapping[str, str],
     condition: Column | None = None,
+    *,
+    within: Within | None = None,
 ) -> DataFrame:
     """The table without the rows that have a match in ``deletes``.
 
-    ``keys`` maps table columns to delete columns and must not be empty: with an equality
-    Spark can hash both sides, without one it would compare every pair. ``condition`` is
-    any further test over the aliases ``t`` (table) and ``s`` (deletes).
+    ``keys`` maps table columns to delete columns; ``condition`` is any further test over the
+    aliases ``t`` (table) and ``s`` (deletes). Without keys, ``within`` must name a value that
+    lies in a range: Spark can hash its bins, see ``bands``. With neither it would compare
+    every pair, which is refused.
     """
+    condition = _checked(keys, condition, within)
+    if not keys:
+        kept, levels = in_levels(target, settle(deletes.distinct()), within, condition)
+        for ranges, test in levels:
+            kept = kept.alias("t").join(ranges.alias("s"), test, "left_anti").select("t.*")
+        return kept.select(*target.columns)
     deletes = _distinct(deletes, keys, condition)
 
     def drop(rows: DataFrame) -> DataFrame:
         kept = rows.alias("t").join(deletes.alias("s"), _match(keys, condition), "left_anti")
         return kept.select(*target.columns)
 
+    if condition is None and not fits_broadcast(deletes):
+        return _around_null_keys(target, keys, lambda rows: _around_sure(rows, deletes, keys, drop))
     return _around_null_keys(target, keys, drop)
 
 
@@ -126,28 +143,86 @@ def delete_soft(
     deletes: DataFrame,
     keys: Mapping[str, str],
     condition: Column | None = None,
+    *,
+    within: Within | None = None,
 ) -> DataFrame:
     """Close the active rows that have a match in ``deletes``: inactive, ended at the
-    time of their last update. The reporting flag stays."""
+    time of their last update. The reporting flag stays. Arguments as in ``delete_hard``."""
     active = F.coalesce(F.col("t.active_flg") == "Y", F.lit(False))
+    condition = _checked(keys, condition, within)
+
+    def marked(rows: DataFrame, old: DataFrame, test: Column) -> DataFrame:
+        """A row may match many deletes: its mark is one existence test in one join."""
+        hit = old.alias("s").where(test.outer()).exists()
+        return rows.alias("t").select("t.*", hit.alias("__now")).withColumn(
+            "__hit", F.col("__hit") | F.col("__now")
+        ).drop("__now")
+
+    if not keys:
+        rows, levels = in_levels(target, settle(deletes.distinct()), within, condition)
+        rows = rows.withColumn("__hit", F.lit(False))
+        for ranges, test in levels:
+            rows = marked(rows, ranges, test)
+        return rows.alias("t").select(*_closed(target, active & F.col("__hit")))
     deletes = _distinct(deletes, keys, condition)
-    match = active & _match(keys, condition)
 
     def close(rows: DataFrame) -> DataFrame:
-        if condition is None:
-            # Delete keys are distinct, so a left join keeps the row count.
-            marked = deletes.withColumn("__hit", F.lit(True))
-            hit = F.coalesce(F.col("s.__hit"), F.lit(False))
-            joined = rows.alias("t").join(marked.alias("s"), match, "left")
-            return joined.select(*_closed(target, hit))
-        # A row may match many deletes: semi and anti join keep one copy of it.
-        old, new = rows.alias("t"), deletes.alias("s")
-        hits = old.join(new, match, "left_semi").select(*_closed(target, F.lit(True)))
-        return hits.unionByName(old.join(new, match, "left_anti").select(*target.columns))
+        found = marked(rows.withColumn("__hit", F.lit(False)), deletes, _match(keys, condition))
+        return found.alias("t").select(*_closed(target, active & F.col("__hit")))
 
     return _around_null_keys(target, keys, close)
 
 
+def _checked(keys: Mapping[str, str], condition: Column | None, within: Within | None) -> Column | None:
+    """The condition beside the keys, or beside the bins of a range."""
+    if not keys and within is None:
+        raise ValueError("a delete needs a key equality or a range")
+    if within is None or not keys:
+        return condition
+    return within.test() if condition is None else within.test() & condition
+
+
+def _around_sure(
+    rows: DataFrame,
+    deletes: DataFrame,
+    keys: Mapping[str, str],
+    drop: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """``drop`` for the rows that may have a match; the others stay where they are.
+
+    For delete keys that are too many to broadcast themselves. Each sets a bit at its hash; a
+    row whose bit is not set has surely no match, and does not enter the shuffle. The bits take
+    16 times as many as there are keys, which leaves one row in sixteen to the exact join;
+    there are at most MOST_BITS, 16 MB, and none are made where those would be too few.
+    """
+    count = deletes.count()
+    bits = max(BUCKET, 1 << (16 * count - 1).bit_length())
+    if bits > MOST_BITS:
+        return drop(rows)
+
+    def place(columns: Sequence[str], types: DataFrame) -> Column:
+        # The same types on both sides, so that equal keys hash alike.
+        named = [F.col(c).cast(types.schema[t].dataType) for c, t in zip(columns, keys)]
+        return F.pmod(F.xxhash64(*named), F.lit(bits))
+
+    at = deletes.select(place(list(keys.values()), rows).alias("at"))
+    bitmaps = settle(
+        at.groupBy(F.floor(F.col("at") / BUCKET).alias("__bucket")).agg(
+            F.bitmap_construct_agg((F.col("at") % BUCKET).cast("long")).alias("__bits")
+        )
+    )
+    placed = rows.withColumn("__at", place(list(keys), rows))
+    placed = placed.withColumn("__bucket", F.floor(F.col("__at") / BUCKET))
+    byte = F.substring("__bits", ((F.col("__at") % BUCKET) / 8).cast("int") + 1, F.lit(1))
+    number = F.conv(F.hex(byte), 16, 10).cast("int")
+    bit = F.call_function("shiftright", number, (F.col("__at") % 8).cast("int")).bitwiseAND(F.lit(1))
+    tested = placed.join(F.broadcast(bitmaps), "__bucket", "left").withColumn(  # MOST_BITS at most
+        "__maybe", F.coalesce(bit == 1, F.lit(False))
+    )
+    sure = tested.filter(~F.col("__maybe")).select(*rows.columns)
+    return sure.unionByName(drop(tested.filter("__maybe").select(*rows.columns)))
+
+
 def _closed(target: DataFrame, hit: Column) -> list[Column]:
     new = {"active_flg": F.lit("N"), "end_ts": F.col("t.etl_updt_ts")}
     return [
@@ -164,8 +239,6 @@ def _match(keys: Mapping[str, str], condition: Column | None) -> Column:
 
 
 def _distinct(deletes: DataFrame, keys: Mapping[str, str], condition: Column | None) -> DataFrame:
-    if not keys:
-        raise ValueError("a delete needs at least one key equality")
     if condition is None:
         deletes = deletes.select(*keys.values())
     # Folded map-side: a key deleted over and over moves once per task. Settled: its size

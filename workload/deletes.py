@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import batch_number, moment
+from tidemark.operators.bands import Within
 from tidemark.operators.deletes import (
     DELETE_EVENT,
     capture_deletes,
@@ -159,6 +160,47 @@ def delete_soft_by_predicate(spark, folder):
     )
 
 
+def _closed_weeks(spark, folder) -> DataFrame:
+    """Spans of days from the suppliers: some a day long, some years, many overlapping."""
+    suppliers = table(spark, folder, "supplier")
+    start = F.date_add(F.lit("1992-01-01").cast("date"), ((F.col("s_suppkey") * 37) % 2400).cast("int"))
+    long = F.when(F.col("s_suppkey") % 40 == 0, 300).otherwise(F.col("s_suppkey") % 3)
+    return suppliers.filter("s_suppkey % 5 = 0").select(
+        start.alias("from_day"), F.date_add(start, long.cast("int")).alias("to_day"), F.col("s_nationkey").alias("nation")
+    )
+
+
+def _dated_orders(spark, folder) -> DataFrame:
+    return _orders_history(spark, folder).withColumn("day", F.col("start_ts").cast("date"))
+
+
+def delete_hard_in_ranges(spark, folder):
+    """Orders of a day that some span covers, without any key in common."""
+    spans = Within("day", "from_day", "to_day")
+    kept = delete_hard(_dated_orders(spark, folder), _closed_weeks(spark, folder), {}, within=spans)
+    return portable(kept)
+
+
+def delete_soft_in_ranges(spark, folder):
+    """The same as a soft delete, where the span's nation must also differ from the order's."""
+    other = F.col("s.nation") != F.col("t.o_orderkey") % 25
+    spans = Within("day", "from_day", "to_day")
+    closed = delete_soft(_dated_orders(spark, folder), _closed_weeks(spark, folder), {}, other, within=spans)
+    return portable(closed)
+
+
+def delete_hard_many_keys(spark, folder):
+    """More delete keys than a broadcast should take: most items are kept without a shuffle."""
+    items = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    gone = table(spark, folder, "orders").filter(F.col("o_orderkey") % 10 == 3).select("o_orderkey")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        return delete_hard(items, gone, {"l_orderkey": "o_orderkey"})
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 QUERIES = {
     "cdc_delete_capture": cdc_delete_capture,
     "delete_impact_count": delete_impact_count,
@@ -168,6 +210,9 @@ QUERIES = {
     "delete_hard_by_predicate": delete_hard_by_predicate,
     "delete_soft_by_key": delete_soft_by_key,
     "delete_soft_by_predicate": delete_soft_by_predicate,
+    "delete_hard_in_ranges": delete_hard_in_ranges,
+    "delete_soft_in_ranges": delete_soft_in_ranges,
+    "delete_hard_many_keys": delete_hard_many_keys,
 }
 
 # ------------------------------------------------------------------------- SQL
@@ -220,6 +265,17 @@ _MATCH = (
 )
 
 
+_SPANS = """
+spans AS (
+  SELECT DATE '1992-01-01' + CAST((s_suppkey * 37) % 2400 AS INTEGER) AS from_day,
+    DATE '1992-01-01' + CAST((s_suppkey * 37) % 2400 + CASE WHEN s_suppkey % 40 = 0 THEN 300 ELSE s_suppkey % 3 END AS INTEGER) AS to_day,
+    s_nationkey AS nation
+  FROM supplier WHERE s_suppkey % 5 = 0),
+d AS (SELECT *, CAST(start_ts AS DATE) AS day FROM t)"""
+_IN_SPAN = "EXISTS (SELECT 1 FROM spans WHERE day BETWEEN from_day AND to_day)"
+_IN_OTHERS = "EXISTS (SELECT 1 FROM spans WHERE day BETWEEN from_day AND to_day AND nation <> o_orderkey % 25)"
+
+
 def _soft(rows: str, columns: str, gone: str) -> str:
     return f"""
 SELECT {columns}, reporting_flg, etl_updt_ts,
@@ -244,4 +300,11 @@ b AS (SELECT CAST(o_custkey AS VARCHAR) AS o_custkey FROM orders GROUP BY 1 HAVI
        'coalesce(cust_key IN (SELECT o_custkey FROM b), FALSE)')}""",
     "delete_soft_by_predicate": f"""
 WITH {_ORDERS} {_soft('t', 'o_orderkey, cust_key, start_ts', _MATCH)}""",
+    "delete_hard_in_ranges": f"""
+WITH {_ORDERS}, {_SPANS} SELECT * REPLACE (CAST(day AS VARCHAR) AS day) FROM d WHERE NOT {_IN_SPAN}""",
+    "delete_soft_in_ranges": f"""
+WITH {_ORDERS}, {_SPANS} {_soft('d', 'o_orderkey, cust_key, start_ts, CAST(day AS VARCHAR) AS day', _IN_OTHERS)}""",
+    "delete_hard_many_keys": """
+SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem
+WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 10 = 3)""",
 }
