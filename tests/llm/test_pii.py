@@ -1,5 +1,11 @@
 import hashlib
+import math
+import random
 import re
+import time
+from collections import defaultdict
+
+import regex
 
 from tidemark.llm import pii
 
@@ -95,3 +101,103 @@ def test_terms_are_counted_and_marked_in_whole_documents(frame):
     }
     assert all({"Kestrel", "QX", "n7x4"} <= marked[i] and not marked[i] & {"plain", "weather"} for i in (100, 101, 102))
     assert marked[200] == {"Kestrel"} and not any(marked[i] for i in range(60))
+
+def _plain_entities(kind, value):
+    digits = re.sub("[^0-9]", "", value)
+    if kind == "email":
+        return {f"email:{value.lower()}", "email:@" + value.lower().rsplit("@", 1)[1]}
+    if kind == "ip":
+        return {f"ip:{value}", "ip:" + ".".join(value.split(".")[:3]) + ".*"}
+    return {f"{kind}:{digits}", f"{kind}:{digits[:6]}*"}
+
+
+def _plain_terms(texts, generalise):
+    """Terms and their greatest share, from the definition: each pair of a term and an entity."""
+    with_term, with_entity = defaultdict(set), defaultdict(set)
+    for i, text in enumerate(texts):
+        text = text or ""
+        blank = list(text)
+        for s in plain_spans(text):
+            kind, a, b = s.split(":")
+            for e in _plain_entities(kind, text[int(a) : int(b)]):
+                with_entity[e].add(i)
+            blank[int(a) : int(b)] = " " * (int(b) - int(a))
+        for word in regex.findall(r"[\p{L}\p{M}\p{N}]+", "".join(blank).lower()):
+            if len(word) > 1:
+                with_term[word].add(i)
+    found = {}
+    for docs in with_entity.values():
+        for term, there in with_term.items():
+            both = docs & there
+            if len({texts[i] for i in both}) < 2:
+                continue
+            pmi = math.log(len(both) * len(texts) / (len(docs) * len(there)))
+            held = math.log(len(texts) / len(docs))
+            share = pmi / held if held > 0 else 0
+            if share >= generalise:
+                found[term] = max(found.get(term, 0), share)
+    return found
+
+
+def _planted(rng):
+    common = [f"common{'abcdefgh'[i]}" for i in range(8)]
+    words = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(200)]
+    firms = [(f"firm{c}.example", f"Secret{c}", f"10.{i}.7", f"+4930{i}12") for i, c in enumerate("abcdef")]
+    texts = []
+    for n in range(400):
+        parts = [*rng.choices(common, k=6), *rng.choices(words, k=12)]
+        if n % 8 == 0:
+            domain, secret, net, phone = firms[n // 8 % len(firms)]
+            mark = [f"p{n}@{domain}", f"{net}.{n % 250}", f"{phone} {n:05d}"][n // 48 % 3]
+            parts += [mark, secret + "uvw"[n // 48 % 3], f"Desk{n // 100}"]
+        rng.shuffle(parts)
+        texts.append(" ".join(parts))
+    return [*texts, *texts[:20], None, "", "boss@firma.example 😀 Secretau,x", texts[8] + " more"]
+
+
+def test_terms_equal_the_measure_of_every_pair(frame):
+    texts = _planted(random.Random(4))
+    docs = frame(list(enumerate(texts)), "doc_id int, text string")
+    for generalise in (0.7, 0.9):
+        want = _plain_terms(texts, generalise)
+        assert any(w.startswith("secret") for w in want) and not any(w.startswith("common") for w in want)
+        for r in pii.find(docs, generalise=generalise).collect():
+            text = texts[r["doc_id"]] or ""
+            base = [(s["start"], s["end"]) for s in r["base"]]
+            blank = list(text)
+            for a, b in base:
+                blank[a:b] = " " * (b - a)
+            hits = [m for m in regex.finditer(r"[\p{L}\p{M}\p{N}]+", "".join(blank)) if m.group().lower() in want]
+            assert [(s["start"], s["end"], s["value"]) for s in r["terms"]] == [(m.start(), m.end(), m.group()) for m in hits]
+            removed = {m.group().lower() for m in hits if want[m.group().lower()] >= pii.REMOVE}
+            assert set(r["removed"]) == removed
+
+
+def test_many_spans_in_one_text(frame):
+    """Time that grows with the text, not with its square; two texts full of shared addresses
+    are one pair of documents, not a product of addresses and words."""
+    many = " ".join(f"user{i}@host{i % 50}.example word{i:x}z" for i in range(16_000))
+    docs = frame([(1, many), (2, many + " x"), (3, "clean text")], "doc_id int, text string")
+    started = time.time()
+    found = {r["doc_id"]: r for r in pii.digest(pii.find(docs)).collect()}
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(docs).collect()}
+    assert time.time() - started < 120
+    assert found[1]["n_email"] == 16_000 and found[3]["spans"] == "" and clean[3] == "clean text"
+    assert "@" not in clean[1] and clean[1].count("[EMAIL]") == 16_000
+
+
+def test_overlapping_spans_are_replaced_once(frame):
+    texts = ["a +1 2.3.4.5 4111111111111111 b", "😀 +4930 10.0.0.1 77 4111-1111-1111-1111 c", "1.2.3.4@x.example"]
+    docs = frame(list(enumerate(texts)), "doc_id int, text string")
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(docs).collect()}
+
+    def plain(text):
+        spans = sorted((int(a), -int(b), k) for k, a, b in (s.split(":") for s in plain_spans(text)))
+        out, at = "", 0
+        for a, b, kind in spans:
+            if a >= at:
+                out += text[at:a] + f"[{kind.upper()}]"
+            at = max(at, -b)
+        return out + text[at:]
+
+    assert clean == {i: plain(t) for i, t in enumerate(texts)}

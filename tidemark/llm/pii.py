@@ -28,25 +28,88 @@ TOKEN = r"[\p{L}\p{M}\p{N}]+"
 _SPAN = "struct<kind:string,start:int,end:int,value:string>"
 
 
+#: Running sums and maxima are taken within blocks of this many, then over the blocks, as an
+#: array that grows by appending would be copied each time.
+BLOCK = 128
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once a row; inside another lambda function a plain
+    expression would be computed again for each element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """For each of ``values`` (numbers, none below zero), what ``join`` makes of zero and all
+    up to it."""
+
+    def grow(part: Column, start: Column) -> Column:
+        grown = F.aggregate(part, F.array(start), lambda acc, x: F.concat(acc, F.array(join(F.element_at(acc, -1), x))))
+        return F.slice(grown, 2, F.size(part))
+
+    zero = F.lit(0)
+
+    def blocks(v: Column) -> Column:
+        count = F.ceil(F.size(v) / F.lit(BLOCK)).cast("int")
+        numbers = F.when(count > 0, F.sequence(zero, count - 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(numbers, lambda k: F.slice(v, k * BLOCK + 1, F.lit(BLOCK)))
+
+    def within(parts: Column) -> Column:
+        ends = grow(F.transform(parts, lambda part: F.aggregate(part, zero, join)), zero)
+        starts = F.concat(F.array(zero), ends)  # one more than there are blocks
+        return F.flatten(F.zip_with(parts, F.slice(starts, 1, F.size(parts)), grow))
+
+    return _let(values, lambda v: _let(blocks(v), within))
+
+
 def _located(
     text: Column, pattern: str, kind: str, hits: Column, keep: Callable[[Column], Column]
 ) -> Column:
     """Spans of those ``hits``, the matches of a pattern in ``text``, that ``keep`` holds for.
     Offsets are sums over the pieces between matches, so that they count code points."""
-    pieces = F.transform(F.split(text, pattern, -1), F.length)
-    steps = F.zip_with(
-        hits, F.slice(pieces, 1, F.size(hits)), lambda h, gap: F.struct(h.alias("h"), gap.alias("gap"))
+    gaps = F.slice(F.transform(F.split(text, pattern, -1), F.length), 1, F.size(hits))
+    ends = _running(F.zip_with(hits, gaps, lambda h, gap: gap + F.length(h)), lambda a, b: a + b)
+    spans = F.zip_with(
+        hits,
+        ends,
+        lambda h, end: F.struct(
+            F.lit(kind).alias("kind"), (end - F.length(h)).alias("start"), end.alias("end"), h.alias("value")
+        ),
     )
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("found"))
+    return F.filter(spans, lambda s: keep(s["value"]))
 
-    def step(acc: Column, s: Column) -> Column:
-        start = acc["at"] + s["gap"]
-        end = start + F.length(s["h"])
-        span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), s["h"].alias("value"))
-        found = F.when(keep(s["h"]), F.concat(acc["found"], F.array(span))).otherwise(acc["found"])
-        return F.struct(end.alias("at"), found.alias("found"))
 
-    return F.aggregate(steps, empty, step, lambda acc: acc["found"])
+def _rewritten(text: Column, spans: Column, put: Callable[[Column, Column], Column]) -> Column:
+    """The text with ``put(span, covered)`` in place of each span; ``covered`` is how many code
+    points it covers that no span before it does. Of spans that overlap, the one that starts
+    first, then the longer one, comes first."""
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], -s["end"], s["kind"], s["value"])))
+    ordered = F.transform(
+        ordered,
+        lambda s: F.struct(s["start"].alias("start"), (-s["col2"]).alias("end"), s["kind"].alias("kind"), s["value"].alias("value")),
+    )
+
+    def pieces(ordered: Column, before: Column, points: Column) -> Column:
+        parts = F.zip_with(
+            ordered,
+            F.slice(before, 1, F.size(ordered)),
+            lambda s, at: F.concat(
+                F.array_join(F.slice(points, at + 1, F.greatest(s["start"] - at, F.lit(0))), ""),
+                put(s, F.greatest(s["end"] - F.greatest(at, s["start"]), F.lit(0))),
+            ),
+        )
+        rest = F.array_join(F.slice(points, F.element_at(before, -1) + 1, F.size(points)), "")
+        return F.concat(F.array_join(parts, ""), rest)
+
+    def rewritten(in_order: Column) -> Column:
+        upto = _running(F.transform(in_order, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+        # Cut from an array of code points: a cut from a text would count from its beginning.
+        return _let(
+            F.concat(F.array(F.lit(0)), upto),
+            lambda before: _let(F.split(text, ""), lambda points: pieces(in_order, before, points)),
+        )
+
+    return F.when(F.size(spans) > 0, _let(ordered, rewritten)).otherwise(text)
 
 
 def _keeper(kind: str) -> Callable[[Column], Column]:
@@ -91,84 +154,68 @@ def _words(text: Column) -> Column:
 
 
 def _outside(text: Column) -> Column:
-    """The text with a space in place of its base spans, whose words are no terms."""
-    ordered = F.array_sort(F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-    pieces = F.aggregate(
-        ordered,
-        start,
-        lambda acc, s: F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(
-                s["start"] >= acc["at"],
-                F.concat(acc["parts"], F.array(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]))),
-            )
-            .otherwise(acc["parts"])
-            .alias("parts"),
-        ),
-        lambda acc: F.concat(acc["parts"], F.array(F.substring(text, acc["at"] + 1, F.length(text)))),
-    )
-    return F.when(F.size("base") > 0, F.array_join(pieces, " ")).otherwise(text)
-
-
-def _entity(span: Column) -> Column:
-    """What a span stands for, however it is written."""
-    return F.concat(
-        span["kind"],
-        F.lit(":"),
-        F.when(span["kind"].isin("card", "phone"), F.regexp_replace(span["value"], "[^0-9]", ""))
-        .otherwise(F.lower(span["value"])),
+    """The text with its base spans blank, whose words are no terms; offsets stay."""
+    return _rewritten(text, F.col("base"), lambda span, covered: F.repeat(F.lit(" "), covered))
+
+
+def _entities(span: Column) -> Column:
+    """What a span stands for, however it is written, and what it shares with others: the mail
+    domain, the network of 256 addresses, the first six digits of a card or phone number."""
+    digits = F.regexp_replace(span["value"], "[^0-9]", "")
+    own = F.when(span["kind"].isin("card", "phone"), digits).otherwise(F.lower(span["value"]))
+    shared = (
+        F.when(span["kind"] == "email", F.concat(F.lit("@"), F.substring_index(own, "@", -1)))
+        .when(span["kind"] == "ip", F.concat(F.substring_index(own, ".", 3), F.lit(".*")))
+        .otherwise(F.concat(F.substring(digits, 1, 6), F.lit("*")))
     )
+    return F.transform(F.array(own, shared), lambda e: F.concat(span["kind"], F.lit(":"), e))
 
 
-def revealing_terms(mentions: DataFrame, words: DataFrame, total: int, generalise: float) -> DataFrame:
-    """(entity, term, share): terms that give away at least ``generalise`` of an entity.
+def together(mentions: DataFrame, words: DataFrame) -> DataFrame:
+    """(term, together, with_entity): in how many documents a term stands with an entity, and
+    how many the entity has; only what two different texts support.
 
-    With probabilities as shares of documents, a term reveals PMI(term; entity), and the
-    entity holds -log p(entity); share is their ratio, 1 when the term occurs in no document
-    without the entity. Only what two different texts support counts. ``mentions`` has row
-    number, text hash and entity, ``words`` row number and term, each pair once; both are of
-    whole documents. An entity or term of one text alone, and a term in more documents than
-    the threshold allows even if all the entity's have it, are left out before they are paired.
+    ``mentions`` has row number, text hash and entity, ``words`` row number and term, each pair
+    once; both are of whole documents. Entities of exactly the same documents are one here, as
+    they stand with the same terms: a document full of addresses of its own is one entity.
     """
+    number = F.xxhash64("rid")
     entities = (
         mentions.groupBy("entity")
-        .agg(F.count(F.lit(1)).alias("with_entity"), F.min("hash").alias("one"), F.max("hash").alias("other"))
-        .filter("one <> other")
-        .select("entity", "with_entity")
-    )
-    information = F.log(F.lit(float(max(total, 2))) / F.col("with_entity"))
-    held = settle(
-        mentions.join(entities, "entity").withColumn(
-            "most", F.col("with_entity") * F.exp((1 - generalise) * information) * (1 + 1e-9)
-        )
-    )
-    most = held.agg(F.coalesce(F.max("most"), F.lit(0.0)).alias("most")).first()["most"]
-    counts = (
-        words.groupBy("term")
-        .agg(F.count(F.lit(1)).alias("with_term"))
-        .filter((F.col("with_term") > 1) & (F.col("with_term") <= most))
-    )
-    beside = words.join(held.select("rid").distinct(), "rid", "left_semi").join(counts, "term")
-    lost = F.log(F.greatest(F.col("with_term") / F.col("together"), F.lit(1.0)))
-    share = F.when(information > 0, 1 - lost / information).otherwise(F.lit(0.0))
-    return (
-        held.join(beside, "rid")
-        .filter(F.col("with_term") <= F.col("most"))
-        .groupBy("entity", "term")
         .agg(
-            F.count(F.lit(1)).alias("together"),
+            F.struct(F.count(F.lit(1)), F.sum(number.cast("decimal(38,0)")), F.bit_xor(number)).alias("where"),
+            F.count(F.lit(1)).alias("with_entity"),
             F.min("hash").alias("one"),
             F.max("hash").alias("other"),
-            F.first("with_entity").alias("with_entity"),
-            F.first("with_term").alias("with_term"),
         )
         .filter("one <> other")
-        .select("entity", "term", share.alias("share"))
-        .filter(F.col("share") >= generalise)
+        .select("entity", "where", "with_entity")
+    )
+    held = settle(mentions.join(entities, "entity").select("rid", "hash", "where", "with_entity").distinct())
+    beside = words.join(held.select("rid").distinct(), "rid", "left_semi")
+    return (
+        held.join(beside, "rid")
+        .groupBy("where", "with_entity", "term")
+        .agg(F.count(F.lit(1)).alias("together"), F.min("hash").alias("one"), F.max("hash").alias("other"))
+        .filter("one <> other")
+        .select("term", "together", "with_entity")
     )
 
 
+def revealing_terms(pairs: DataFrame, counts: DataFrame, total: int, generalise: float) -> DataFrame:
+    """(term, share): terms that give away at least ``generalise`` of some entity.
+
+    With probabilities as shares of documents, a term reveals PMI(term; entity), and the entity
+    holds -log p(entity); share is their ratio, 1 when the term occurs in no document without
+    the entity. ``pairs`` is what ``together`` gives, ``counts`` has the documents of each term.
+    """
+    information = F.log(F.lit(float(max(total, 2))) / F.col("with_entity"))
+    lost = F.log(F.greatest(F.col("with_term") / F.col("together"), F.lit(1.0)))
+    share = F.when(information > 0, 1 - lost / information).otherwise(F.lit(0.0))
+    known = pairs.join(counts, "term").select("term", share.alias("share")).filter(F.col("share") >= generalise)
+    return known.groupBy("term").agg(F.max("share").alias("share"))
+
+
 def find(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -179,17 +226,20 @@ def find(
 ) -> DataFrame:
     """Personal data in whole texts: one row per row of ``docs``.
 
-    Patterns give the base spans; their values are the protected entities. Words of documents
-    with an entity are weighed by how strongly the corpus ties them to it, and those past the
-    threshold are spans of kind ``term`` wherever they stand in any document. Words inside
-    base spans are no terms, and a term span never overlaps a base span.
+    Patterns give the base spans; their values are the protected entities, and so is what the
+    values share (see ``_entities``). Words of documents with an entity are weighed by how
+    strongly the corpus ties them to it, and those past the threshold are spans of kind
+    ``term`` wherever they stand in any document. Base spans are no part of a term.
+
+    Terms that two different texts have beside an entity are found first, in documents with
+    entities alone; then the words of all documents are taken once, and of them only those
+    terms are kept, to be counted and marked.
 
     Returns id, ``base`` and ``terms`` (arrays of kind, start, end, value; code points, end
     exclusive; by kind and start), ``removed`` (terms to remove rather than generalise), and
     with ``carry`` the struct ``row`` and ``content``, the text. A null text counts as empty;
     equal rows are treated alike; an empty table gives no rows.
     """
-    total = docs.count()
     content = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
     found = pattern_spans(
         docs.select(
@@ -208,39 +258,38 @@ def find(
     mentions = (
         found.filter(F.size("base") > 0)
         .select("rid", F.xxhash64("content").alias("hash"), F.explode("base").alias("span"))
-        .select("rid", "hash", _entity(F.col("span")).alias("entity"))
+        .select("rid", "hash", F.explode(_entities(F.col("span"))).alias("entity"))
         .distinct()
     )
-    words = found.select("rid", F.explode(_words(_outside(F.col("content")))).alias("term"))
-    revealing = settle(
-        revealing_terms(mentions, words, total, generalise).groupBy("term").agg(F.max("share").alias("share"))
-    )
+    plain = F.when(F.size("base") > 0, _outside(F.col("content"))).otherwise(F.col("content"))
+
+    def words(rows: DataFrame) -> DataFrame:
+        return rows.select("rid", F.explode(_words(plain)).alias("term"))
+
+    pairs = settle(together(mentions, words(found.filter(F.size("base") > 0))))
+    candidates = settle(pairs.select("term").distinct())
+    hits = settle(words(found).join(candidates, "term"))
+    counts = hits.groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
+    revealing = settle(revealing_terms(pairs, counts, found.count(), generalise))
+    listed = settle(hits.join(revealing, "term"))
+    every = _located(plain, TOKEN, "term", F.regexp_extract_all(plain, F.lit(TOKEN), F.lit(0)), lambda w: F.length(w) > 1)
     terms = (
-        words.join(revealing, "term")
+        found.join(listed.select("rid").distinct(), "rid", "left_semi")
+        .select("rid", F.explode(every).alias("span"))
+        .withColumn("term", F.lower("span.value"))
+        .join(listed, ["rid", "term"])
         .groupBy("rid")
         .agg(
-            F.collect_set("term").alias("listed"),
+            F.array_sort(F.collect_list(F.struct("span.start", "span"))).alias("spans"),
             F.collect_set(F.when(F.col("share") >= REMOVE, F.col("term"))).alias("removed"),
         )
+        .select("rid", F.transform("spans", lambda s: s["span"]).alias("terms"), "removed")
     )
-    text = F.col("content")
-    marked = found.join(terms, "rid", "left").withColumn(
-        "words", F.when(F.col("listed").isNotNull(), F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)))
-    )
-    none = F.array().cast(f"array<{_SPAN}>")
-    spans = F.when(
-        F.col("listed").isNotNull(),
-        F.filter(
-            _located(
-                text, TOKEN, "term", F.col("words"), lambda w: F.array_contains("listed", F.lower(w))
-            ),
-            lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
-        ),
-    ).otherwise(none)
+    marked = found.join(terms, "rid", "left")
     return marked.select(
         F.col("id").alias(id_column),
         "base",
-        spans.alias("terms"),
+        F.coalesce("terms", F.array().cast(f"array<{_SPAN}>")).alias("terms"),
         F.coalesce("removed", F.array().cast("array<string>")).alias("removed"),
         *(["row", "content"] if carry else []),
     )
@@ -270,47 +319,18 @@ def sanitised() -> Column:
     """The text of ``find(carry=True)`` with every span replaced by its class, and terms that
     reveal all of an entity removed. Where spans of two kinds overlap, the one that starts
     first, then the longer one, covers both."""
-    text = F.col("content")
-    ordered = F.array_sort(
-        F.transform(
-            F.concat("base", "terms"),
-            lambda s: F.struct(s["start"], -s["end"], s["kind"], s["value"]),
-        )
-    )
-    ordered = F.transform(
-        ordered,
-        lambda s: F.struct(
-            s["start"].alias("start"),
-            (-s["col2"]).alias("end"),
-            F.when(s["kind"] != "term", F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
-            .when(F.array_contains("removed", F.lower(s["value"])), F.lit(""))
-            .when(s["value"].rlike(r"^\p{Lu}"), F.lit("[NAME]"))
+
+    def put(span: Column, covered: Column) -> Column:
+        named = (
+            F.when(span["kind"] != "term", F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]")))
+            .when(F.array_contains("removed", F.lower(span["value"])), F.lit(""))
+            .when(span["value"].rlike(r"^\p{Lu}"), F.lit("[NAME]"))
             .otherwise(F.lit("[WORD]"))
-            .alias("as"),
-        ),
-    )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-    body = F.aggregate(
-        ordered,
-        start,
-        lambda acc, s: F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(
-                s["start"] >= acc["at"],
-                F.concat(
-                    acc["parts"],
-                    F.array(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), s["as"]),
-                ),
-            )
-            .otherwise(acc["parts"])
-            .alias("parts"),
-        ),
-        lambda acc: F.concat(
-            F.array_join(acc["parts"], ""),
-            F.substring(text, acc["at"] + 1, F.length(text)),
-        ),
-    )
-    return F.when(F.size(ordered) > 0, body).otherwise(text)
+        )
+        # A span that begins inside another one goes with it.
+        return F.when(covered == span["end"] - span["start"], named).otherwise(F.lit(""))
+
+    return _rewritten(F.col("content"), F.concat("base", "terms"), put)
 
 
 def sanitise(docs: DataFrame, id_column="doc_id", text_column="text", count_column="n_chars") -> DataFrame:
