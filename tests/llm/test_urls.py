@@ -59,3 +59,32 @@ def test_paths_keep_their_case(frame):
     captures = frame([(i, u, D(2024, 1, 2)) for i, (u, *_) in enumerate(cases)], "page_id int, url string, fetched_on date")
     got = {r["page_id"]: (r["verdict"], r["matched"]) for r in urls.evaluate(captures, entries).collect()}
     assert got == {i: (v, m) for i, (_, v, m) in enumerate(cases)}
+
+
+def test_verdicts_at_the_time_of_the_fetch(frame):
+    """Entries and captures at times of day: only entries of the same instant are one."""
+    t = lambda d, h, m=0: dt.datetime(2024, 1, d, h, m)
+    entries = frame(
+        [
+            ("late.example", "block", t(10, 18)), ("gone.example", "block", t(10, 9)), ("gone.example", "remove", t(10, 10)),
+            ("tie.example", "allow", t(10, 9, 30)), ("tie.example", "block", t(10, 9, 30)), ("hour.example", "allow", t(10, 9, 10)),
+            ("hour.example", "block", t(10, 9, 20)), ("hour.example", "remove", t(10, 9, 40)),
+        ],
+        "key string, verdict string, since timestamp_ntz",
+    )
+    cases = [
+        ("late", t(10, 9), "none"), ("late", t(10, 18), "block"), ("late", t(11, 1), "block"), ("gone", t(10, 8, 59), "none"),
+        ("gone", t(10, 9), "block"), ("gone", t(10, 9, 59), "block"), ("gone", t(10, 10), "none"), ("gone", t(11, 0), "none"),
+        ("tie", t(10, 9, 29), "none"), ("tie", t(10, 9, 30), "block"), ("hour", t(10, 9, 9), "none"), ("hour", t(10, 9, 10), "allow"),
+        ("hour", t(10, 9, 19), "allow"), ("hour", t(10, 9, 20), "block"), ("hour", t(10, 9, 39), "block"), ("hour", t(10, 9, 40), "none"),
+        ("hour", t(10, 9, 9), "none"), ("hour", None, "none"),
+    ]
+    rows = [(i, f"http://{name}.example/", at) for i, (name, at, _) in enumerate(cases)]
+    captures = frame(rows, "page_id int, url string, fetched_on timestamp_ntz")
+    found = urls.evaluate(captures, entries).collect()
+    assert {r["page_id"]: r["verdict"] for r in found} == {i: v for i, (*_, v) in enumerate(cases)}
+    assert found[0]["since"] is None or isinstance(found[0]["since"], dt.datetime)
+    # A list of dates judges captures at times of day from its midnight on.
+    dated = frame([("late.example", "block", D(2024, 1, 11))], "key string, verdict string, since date")
+    found = {r["page_id"]: r["verdict"] for r in urls.evaluate(captures, dated).collect()}
+    assert (found[1], found[2]) == ("none", "block")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
@@ -77,9 +77,15 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def _at(day: Column, minute: Column) -> Column:
+    """A time of day in 2024, days counted from its first."""
+    midnight = F.date_add(F.lit("2024-01-01").cast("date"), day.cast("int")).cast("timestamp_ntz")
+    return midnight + F.make_dt_interval(mins=minute.cast("int"))
+
+
 def _list_entries(pages: DataFrame) -> DataFrame:
     """A dated list about the hosts of ``pages``, their domains and their first path segments:
-    each is listed, some are taken off and listed again, on days that its name decides."""
+    each is listed, some are taken off and listed again, at times that its name decides."""
     where, parts = urls.host(F.col("url")), urls.segments(F.col("url"))
     names = pages.select(
         F.explode(
@@ -98,9 +104,7 @@ def _list_entries(pages: DataFrame) -> DataFrame:
         F.explode(
             F.array(
                 *[
-                    F.struct(
-                        F.date_add(F.lit("2024-01-01").cast("date"), day).alias("since"), verdict.alias("verdict")
-                    )
+                    F.struct(_at(day, letter[6] % 24 * 60).alias("since"), verdict.alias("verdict"))
                     for day, verdict in (
                         (first, F.when(letter[2] % 3 == 0, "allow").otherwise("block")),
                         (first + 1 + letter[3] % 60, F.lit("remove")),
@@ -115,15 +119,16 @@ def _list_entries(pages: DataFrame) -> DataFrame:
 @_query
 def op1_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     pages = spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url")
-    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.pmod("page_id", F.lit(366))).cast("int"))
-    judged = urls.evaluate(pages.withColumn("fetched_on", day), _list_entries(pages))
-    dates = {c: F.col(c).cast("string") for c in ("fetched_on", "since", "until")}
-    return judged.withColumns(dates)
+    fetched = _at(F.pmod("page_id", F.lit(366)), F.pmod(F.col("page_id") * 7, F.lit(1440)))
+    judged = urls.evaluate(pages.withColumn("fetched_on", fetched), _list_entries(pages))
+    times = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("fetched_on", "since", "until")}
+    return judged.withColumns(times)
 
 
 SQL["op1_url_filters"] = """
 WITH captures AS (
-  SELECT page_id, url, DATE '2024-01-01' + CAST(((page_id % 366) + 366) % 366 AS INTEGER) AS fetched_on,
+  SELECT page_id, url, TIMESTAMP '2024-01-01' + to_days(CAST(((page_id % 366) + 366) % 366 AS INTEGER))
+      + to_minutes(((page_id * 7 % 1440) + 1440) % 1440) AS fetched_on,
     nullif(rtrim(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '.'), '') AS host,
     list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1), '/'), lambda s: s <> '') AS parts
   FROM pages),
@@ -135,13 +140,14 @@ names AS (
   WHERE key IS NOT NULL),
 days AS (
   SELECT key, (ascii(m[1]) * 31 + ascii(m[2])) % 300 AS first, 1 + ascii(m[4]) % 60 AS held, ascii(m[5]) % 40 AS off,
+    to_hours(ascii(m[7]) % 24) AS hour,
     CASE WHEN ascii(m[3]) % 3 = 0 THEN 'allow' ELSE 'block' END AS one,
     CASE WHEN ascii(m[6]) % 2 = 0 THEN 'allow' ELSE 'block' END AS two
   FROM names),
 entries AS (
-  SELECT key, DATE '2024-01-01' + CAST(first AS INTEGER) AS since, one AS verdict FROM days
-  UNION ALL SELECT key, DATE '2024-01-01' + CAST(first + held AS INTEGER), 'remove' FROM days
-  UNION ALL SELECT key, DATE '2024-01-01' + CAST(first + held + off AS INTEGER), two FROM days),
+  SELECT key, TIMESTAMP '2024-01-01' + to_days(CAST(first AS INTEGER)) + hour AS since, one AS verdict FROM days
+  UNION ALL SELECT key, TIMESTAMP '2024-01-01' + to_days(CAST(first + held AS INTEGER)) + hour, 'remove' FROM days
+  UNION ALL SELECT key, TIMESTAMP '2024-01-01' + to_days(CAST(first + held + off AS INTEGER)) + hour, two FROM days),
 daily AS (
   SELECT key, since, max(CASE verdict WHEN 'block' THEN 3 WHEN 'allow' THEN 2 ELSE 1 END) AS o
   FROM entries GROUP BY ALL),
@@ -155,8 +161,8 @@ hits AS (
   FROM captures c JOIN rules r
     ON r.verdict <> 'remove' AND c.fetched_on >= r.since AND (r.until IS NULL OR c.fetched_on < r.until)
     AND (r.key = c.host OR ends_with(c.host, '.' || r.key) OR (len(c.parts) > 0 AND r.key = c.host || '/' || c.parts[1])))
-SELECT c.page_id, c.url, CAST(c.fetched_on AS VARCHAR) AS fetched_on, coalesce(h.verdict, 'none') AS verdict,
-  h.key AS matched, CAST(h.since AS VARCHAR) AS since, CAST(h.until AS VARCHAR) AS until
+SELECT c.page_id, c.url, strftime(c.fetched_on, '%Y-%m-%d %H:%M:%S') AS fetched_on, coalesce(h.verdict, 'none') AS verdict,
+  h.key AS matched, strftime(h.since, '%Y-%m-%d %H:%M:%S') AS since, strftime(h.until, '%Y-%m-%d %H:%M:%S') AS until
 FROM captures c LEFT JOIN hits h
   ON h.place = 1 AND h.page_id = c.page_id AND h.url = c.url AND h.fetched_on = c.fetched_on
 """
