@@ -171,9 +171,10 @@ def _entities(span: Column) -> Column:
     return F.transform(F.array(own, shared), lambda e: F.concat(span["kind"], F.lit(":"), e))
 
 
-def together(mentions: DataFrame, words: DataFrame) -> DataFrame:
+def together(mentions: DataFrame, words: DataFrame, total: int, generalise: float) -> DataFrame:
     """(term, together, with_entity): in how many documents a term stands with an entity, and
-    how many the entity has; only what two different texts support.
+    how many the entity has; only what two different texts support, and without what documents
+    with an entity alone show to be too common (see ``revealing_terms``).
 
     ``mentions`` has row number, text hash and entity, ``words`` row number and term, each pair
     once; both are of whole documents. Entities of exactly the same documents are one here, as
@@ -193,15 +194,23 @@ def together(mentions: DataFrame, words: DataFrame) -> DataFrame:
     )
     held = settle(mentions.join(entities, "entity").select("rid", "hash", "where", "with_entity").distinct())
     beside = words.join(held.select("rid").distinct(), "rid", "left_semi")
+    most = F.col("together") * F.exp((1 - generalise) * _information(total)) * (1 + 1e-9)
     return (
         held.join(beside, "rid")
         .groupBy("where", "with_entity", "term")
         .agg(F.count(F.lit(1)).alias("together"), F.min("hash").alias("one"), F.max("hash").alias("other"))
         .filter("one <> other")
+        .join(words.groupBy("term").agg(F.count(F.lit(1)).alias("at_least")), "term")
+        .filter(F.col("at_least") <= most)
         .select("term", "together", "with_entity")
     )
 
 
+def _information(total: int) -> Column:
+    """What an entity holds, by its share of all documents."""
+    return F.log(F.lit(float(max(total, 2))) / F.col("with_entity"))
+
+
 def revealing_terms(pairs: DataFrame, counts: DataFrame, total: int, generalise: float) -> DataFrame:
     """(term, share): terms that give away at least ``generalise`` of some entity.
 
@@ -209,7 +218,7 @@ def revealing_terms(pairs: DataFrame, counts: DataFrame, total: int, generalise:
     holds -log p(entity); share is their ratio, 1 when the term occurs in no document without
     the entity. ``pairs`` is what ``together`` gives, ``counts`` has the documents of each term.
     """
-    information = F.log(F.lit(float(max(total, 2))) / F.col("with_entity"))
+    information = _information(total)
     lost = F.log(F.greatest(F.col("with_term") / F.col("together"), F.lit(1.0)))
     share = F.when(information > 0, 1 - lost / information).otherwise(F.lit(0.0))
     known = pairs.join(counts, "term").select("term", share.alias("share")).filter(F.col("share") >= generalise)
@@ -266,11 +275,13 @@ def find(
     def words(rows: DataFrame) -> DataFrame:
         return rows.select("rid", F.explode(_words(plain)).alias("term"))
 
-    pairs = settle(together(mentions, words(found.filter(F.size("base") > 0))))
+    total = found.count()
+    beside = settle(words(found.filter(F.size("base") > 0)))
+    pairs = settle(together(mentions, beside, total, generalise))
     candidates = settle(pairs.select("term").distinct())
     hits = settle(words(found).join(candidates, "term"))
     counts = hits.groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
-    revealing = settle(revealing_terms(pairs, counts, found.count(), generalise))
+    revealing = settle(revealing_terms(pairs, counts, total, generalise))
     listed = settle(hits.join(revealing, "term"))
     every = _located(plain, TOKEN, "term", F.regexp_extract_all(plain, F.lit(TOKEN), F.lit(0)), lambda w: F.length(w) > 1)
     terms = (
