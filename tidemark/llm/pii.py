@@ -225,6 +225,23 @@ def revealing_terms(pairs: DataFrame, counts: DataFrame, total: int, generalise:
     return known.groupBy("term").agg(F.max("share").alias("share"))
 
 
+#: Bits that stand for terms that are looked for, 2 MB of bitmaps, and bits of one bitmap.
+TERM_BITS, BITMAP = 1 << 24, 32768
+
+
+def _maybe_among(rows: DataFrame, terms: DataFrame) -> DataFrame:
+    """``rows`` less those whose ``term`` is surely not in ``terms``: each of these sets a bit at
+    its hash, and the bitmaps are broadcast. What is kept has to meet the terms themselves."""
+    at = F.pmod(F.xxhash64("term"), F.lit(TERM_BITS))
+    bits = terms.select(at.alias("at")).groupBy(F.floor(F.col("at") / BITMAP).alias("__bucket")).agg(
+        F.bitmap_construct_agg((F.col("at") % BITMAP).cast("long")).alias("__bits")
+    )
+    byte = F.substring("__bits", ((at % BITMAP) / 8).cast("int") + 1, F.lit(1))
+    bit = F.call_function("shiftright", F.conv(F.hex(byte), 16, 10).cast("int"), (at % 8).cast("int"))
+    placed = rows.withColumn("__bucket", F.floor(at / BITMAP)).join(F.broadcast(settle(bits)), "__bucket")
+    return placed.filter(bit.bitwiseAND(F.lit(1)) == 1).select(*rows.columns)
+
+
 def find(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -279,15 +296,18 @@ def find(
     beside = settle(words(found.filter(F.size("base") > 0)))
     pairs = settle(together(mentions, beside, total, generalise))
     candidates = settle(pairs.select("term").distinct())
-    hits = settle(words(found).join(candidates, "term"))
+    hits = settle(_maybe_among(words(found), candidates).join(candidates, "term"))
     counts = hits.groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
     revealing = settle(revealing_terms(pairs, counts, total, generalise))
     listed = settle(hits.join(revealing, "term"))
     every = _located(plain, TOKEN, "term", F.regexp_extract_all(plain, F.lit(TOKEN), F.lit(0)), lambda w: F.length(w) > 1)
-    terms = (
+    tokens = (
         found.join(listed.select("rid").distinct(), "rid", "left_semi")
         .select("rid", F.explode(every).alias("span"))
         .withColumn("term", F.lower("span.value"))
+    )
+    terms = (
+        _maybe_among(tokens, revealing.select("term"))
         .join(listed, ["rid", "term"])
         .groupBy("rid")
         .agg(
