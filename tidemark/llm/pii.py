@@ -176,9 +176,11 @@ def together(mentions: DataFrame, words: DataFrame, total: int, generalise: floa
     how many the entity has; only what two different texts support, and without what documents
     with an entity alone show to be too common (see ``revealing_terms``).
 
-    ``mentions`` has row number, text hash and entity, ``words`` row number and term, each pair
-    once; both are of whole documents. Entities of exactly the same documents are one here, as
-    they stand with the same terms: a document full of addresses of its own is one entity.
+    ``mentions`` has row number, text hash and entity, each once, ``words`` row number and the
+    array of a row's distinct terms; both are of whole documents. Entities of exactly the same
+    documents are one here, as they stand with the same terms: a document full of addresses of
+    its own is one entity. Terms move as one array a document; they are taken apart where the
+    document's entities are.
     """
     number = F.xxhash64("rid")
     entities = (
@@ -190,17 +192,29 @@ def together(mentions: DataFrame, words: DataFrame, total: int, generalise: floa
             F.max("hash").alias("other"),
         )
         .filter("one <> other")
-        .select("entity", "where", "with_entity")
     )
-    held = settle(mentions.join(entities, "entity").select("rid", "hash", "where", "with_entity").distinct())
-    beside = words.join(held.select("rid").distinct(), "rid", "left_semi")
+    # Any one entity of those that stand in the same documents tells which these are.
+    places = settle(
+        entities.groupBy("where", "with_entity")
+        .agg(F.min("entity").alias("entity"))
+        .select(F.monotonically_increasing_id().alias("place"), "entity", "with_entity")
+    )
+    held = settle(
+        mentions.join(places, "entity")
+        .groupBy("rid")
+        .agg(F.min("hash").alias("hash"), F.collect_list("place").alias("places"))
+    )
+    known = words.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("at_least"))
     most = F.col("together") * F.exp((1 - generalise) * _information(total)) * (1 + 1e-9)
     return (
-        held.join(beside, "rid")
-        .groupBy("where", "with_entity", "term")
+        held.join(words, "rid")
+        .select("hash", "terms", F.explode("places").alias("place"))
+        .select("hash", "place", F.explode("terms").alias("term"))
+        .groupBy("place", "term")
         .agg(F.count(F.lit(1)).alias("together"), F.min("hash").alias("one"), F.max("hash").alias("other"))
         .filter("one <> other")
-        .join(words.groupBy("term").agg(F.count(F.lit(1)).alias("at_least")), "term")
+        .join(places.select("place", "with_entity"), "place")
+        .join(known, "term")
         .filter(F.col("at_least") <= most)
         .select("term", "together", "with_entity")
     )
@@ -289,14 +303,12 @@ def find(
     )
     plain = F.when(F.size("base") > 0, _outside(F.col("content"))).otherwise(F.col("content"))
 
-    def words(rows: DataFrame) -> DataFrame:
-        return rows.select("rid", F.explode(_words(plain)).alias("term"))
-
     total = found.count()
-    beside = settle(words(found.filter(F.size("base") > 0)))
+    beside = settle(found.filter(F.size("base") > 0).select("rid", _words(plain).alias("terms")))
     pairs = settle(together(mentions, beside, total, generalise))
     candidates = settle(pairs.select("term").distinct())
-    hits = settle(_maybe_among(words(found), candidates).join(candidates, "term"))
+    words = found.select("rid", F.explode(_words(plain)).alias("term"))
+    hits = settle(_maybe_among(words, candidates).join(candidates, "term"))
     counts = hits.groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
     revealing = settle(revealing_terms(pairs, counts, total, generalise))
     listed = settle(hits.join(revealing, "term"))
