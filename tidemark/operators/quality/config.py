@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.times import moment
 from tidemark.operators.merge import merge
+from tidemark.sources.tables import settle
 
 
 @dataclass(frozen=True)
@@ -62,6 +63,56 @@ def config_rows(payloads: DataFrame, kind: ConfigKind, column: str = "payload")
     return payloads.select(F.inline(elements))
 
 
+# Why an element or a payload was left out.
+NOT_JSON, NOT_AN_ARRAY, NOT_AN_OBJECT, NO_KEY = "not json", "not an array", "not an object", "no key"
+
+
+def config_elements(payloads: DataFrame, kind: ConfigKind, column: str = "payload") -> DataFrame:
+    """One row per element of the JSON arrays, whatever its shape, and one per payload that has
+    no elements to read: the fields as text, ``element`` (JSON; the payload itself where it is
+    broken), ``pos`` in its payload, and ``reason``, NULL for an element that can be merged.
+
+    A field may be of any type: an object or an array is read as its JSON, a number as it is
+    written without needless digits. Fields of other names are ignored. A NULL payload and an
+    empty array have no rows.
+    """
+    parsed = payloads.select(F.col(column).alias("__text")).filter("__text IS NOT NULL")
+    parsed = parsed.withColumn("__json", F.try_parse_json("__text"))
+    is_array = F.coalesce(F.schema_of_variant("__json").startswith("ARRAY"), F.lit(False))
+    # A payload without elements to read stands as one, to be rejected.
+    whole = F.when(is_array, F.col("__json")).otherwise(F.parse_json(F.lit("[null]")))
+    parsed = parsed.withColumns({"__array": is_array, "__elements": whole})
+    each = parsed.lateralJoin(parsed.sparkSession.tvf.variant_explode(F.col("__elements").outer()))
+    is_object = F.schema_of_variant("value").startswith("OBJECT")
+    fields = {
+        name: F.when(F.col("__array") & is_object, F.try_variant_get("value", f"$.{name}", "string"))
+        for name in (kind.key, *kind.fields)
+    }
+    reason = (
+        F.when(F.col("__json").isNull(), F.lit(NOT_JSON))
+        .when(~F.col("__array"), F.lit(NOT_AN_ARRAY))
+        .when(~is_object, F.lit(NOT_AN_OBJECT))
+        .when(fields[kind.key].isNull(), F.lit(NO_KEY))
+    )
+    return each.select(
+        *[value.alias(name) for name, value in fields.items()],
+        F.when(F.col("__array"), F.to_json("value")).otherwise(F.col("__text")).alias("element"),
+        F.when(F.col("__array"), F.col("pos")).alias("pos"),
+        reason.alias("reason"),
+    )
+
+
+def upsert_readable(
+    target: DataFrame, payloads: DataFrame, kind: ConfigKind, now, *, column: str = "payload", **options
+) -> tuple[DataFrame, DataFrame]:
+    """``upsert_config`` with the elements that can be merged, and the others as (reason, pos,
+    element): a broken payload or element holds up no other. Payloads are read once."""
+    elements = settle(config_elements(payloads, kind, column))
+    good = elements.filter("reason IS NULL").select(kind.key, *kind.fields)
+    rejects = elements.filter("reason IS NOT NULL").select("reason", "pos", "element")
+    return _merged(target, good, kind, now, **options), rejects
+
+
 def upsert_config(
     target: DataFrame,
     payloads: DataFrame,
@@ -72,9 +123,13 @@ def upsert_config(
     duplicates: str = "error",
 ) -> DataFrame:
     """Merge config objects by id; the creation time of a known id stays."""
-    rows = config_rows(payloads, kind, column).withColumns(
-        {"created_ts": moment(now), "modified_ts": moment(now)}
-    )
+    return _merged(target, config_rows(payloads, kind, column), kind, now, duplicates=duplicates)
+
+
+def _merged(
+    target: DataFrame, rows: DataFrame, kind: ConfigKind, now, *, duplicates: str = "error"
+) -> DataFrame:
+    rows = rows.withColumns({"created_ts": moment(now), "modified_ts": moment(now)})
     changing = [f for f in kind.fields if f not in kind.fixed] + ["modified_ts"]
     return merge(
         target,
