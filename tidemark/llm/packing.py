@@ -18,6 +18,8 @@ from tidemark.llm.tokens import word_ids
 PARTITION_SEQUENCES, EXCHANGE = 512, 16
 #: Sequences that a partition above its bound offers for exchange, at most; others a quarter.
 OFFERED = 128
+#: Pieces that a worker hands over at once; with their ids they take 4 MB at most.
+PIECES_AT_ONCE = 512
 #: Values of k that the bound by rounding tries.
 ROUNDINGS = 40
 
@@ -39,7 +41,19 @@ def pieces_of(
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memory.only("word ids")
         for batch in batches:
+            ids_of_rows = batch["id"].to_numpy(object)
             row, piece, start, length, crc, ids = [], [], [], [], [], []
+
+            def gathered() -> pd.DataFrame:
+                out = {
+                    "id": pd.Series(ids_of_rows[row], dtype=object),
+                    "piece": np.array(piece, np.int32),
+                    "start": np.array(start, np.int64),
+                    "length": np.array(length, np.int64),
+                    "ids_crc32": np.array(crc, np.int64),
+                }
+                return pd.DataFrame(out | ({"ids": pd.Series(ids, dtype=object)} if with_ids else {}))
+
             for i, found in enumerate(word_ids(batch["text"].tolist(), place)):
                 found = memoryview(found + end)
                 for k, at in enumerate(range(0, len(found), 4 * capacity)):
@@ -51,14 +65,10 @@ def pieces_of(
                     crc.append(zlib.crc32(part))
                     if with_ids:
                         ids.append(np.frombuffer(part, "<u4").astype(np.int32))
-            out = {
-                "id": pd.Series(batch["id"].to_numpy(object)[row], dtype=object),
-                "piece": np.array(piece, np.int32),
-                "start": np.array(start, np.int64),
-                "length": np.array(length, np.int64),
-                "ids_crc32": np.array(crc, np.int64),
-            }
-            yield pd.DataFrame(out | ({"ids": pd.Series(ids, dtype=object)} if with_ids else {}))
+                    if len(row) == PIECES_AT_ONCE:
+                        yield gathered()
+                        row, piece, start, length, crc, ids = [], [], [], [], [], []
+            yield gathered()
 
     # As text, an id keeps all digits beside nulls.
     rows = docs.select(
