@@ -222,6 +222,40 @@ def test_apply_versions_equals_merge_and_close_out(frame, old, new, small):
     assert rows_of(got) == rows_of(plain)
 
 
+HEX = "0123456789abcdef" * 4
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    old=st.lists(
+        st.tuples(st.sampled_from(["a", HEX, "", None]), st.sampled_from(["1", HEX, HEX.upper(), "", None]),
+                  st.integers(0, 4), st.sampled_from(["Y", "N", None]), st.sampled_from(["Y", "N", None])),
+        max_size=8),
+    new=st.lists(
+        st.tuples(st.sampled_from(["a", HEX, "", None]), st.sampled_from(["1", HEX, HEX.upper(), "", None]),
+                  st.integers(5, 9)),
+        max_size=5, unique_by=lambda v: v[:2]),
+)
+def test_odd_and_repeated_keys_in_one_shuffle(frame, old, new):
+    target = frame([row(*v, load=v[2]) for v in old], DDL)
+    source = frame([row(*v, load=v[2]) for v in new], DDL)
+    joined = apply_versions(target, source, "sk", "seq", small_source=False)
+    assert rows_of(apply_versions(target, source, "sk", "seq")) == rows_of(joined)
+
+
+def test_an_increment_is_shuffled_once(spark, frame):
+    """The check for repeated keys, the match and the close-out share it; hashes move packed."""
+    target = settle(frame([row(HEX, HEX, 1)], DDL))
+    source = settle(frame([row(HEX, HEX[::-1], 2)], DDL))
+    got = apply_versions(target, source, "sk", "seq")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Join" not in plan
+    assert "unhex" in plan[plan.index("Exchange "):]
+    twice = settle(frame([row("b", "1", 2), row("b", "1", 3)], DDL))
+    with pytest.raises(Exception, match="duplicate key in merge source"):
+        apply_versions(target, twice, "sk", "seq").collect()
+
+
 def test_apply_versions_finds_hot_entities(frame, monkeypatch):
     rows = [row("hot", f"{i:03d}", i) for i in range(50)]
     target, source = frame(rows[:30], DDL), frame(rows[30:], DDL)

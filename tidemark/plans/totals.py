@@ -190,7 +190,7 @@ def _log(spark: SparkSession, tables: Followed, deltas: DataFrame) -> None:
         with dynamic_overwrite(spark):
             rows.write.mode("overwrite").insertInto(tables.deltas)
     else:
-        rows.write.format("parquet").partitionBy("batch_id").saveAsTable(tables.deltas)
+        rows.write.format("parquet").option("compression", "zstd").partitionBy("batch_id").saveAsTable(tables.deltas)
 
 
 def _sums() -> list[Column]:
