@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from tidemark.plans.gold import settle_summary
 from tidemark.plans.totals import Followed, delete_payments, load_payments, totals
 from tidemark.sources.tables import drop, read, settle
 from workload import silver_gold
@@ -36,7 +37,7 @@ def gold_follows_deletes(spark, folder):
     """The history of the summary over the three changes."""
     names = _followed(spark, folder)
     try:
-        return portable(settle(read(spark, names.summary)))
+        return portable(settle_summary(read(spark, names.summary)))
     finally:
         for name in names.tables:
             drop(spark, name)
