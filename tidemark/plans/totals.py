@@ -12,14 +12,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
-from tidemark.functions.keys import hash_key, usable_key
+from tidemark.functions.keys import hash_key, packed, unpacked, usable_key
 from tidemark.functions.times import batch_number, moment
 from tidemark.operators.deletes import delete_hard, delete_soft
-from tidemark.plans.gold import ENTITY_COLUMNS, ENTITY_KEY, describe, merge_summary
+from tidemark.operators.history import PLACES
+from tidemark.operators.neighbours import find_hot_groups, group_rows
+from tidemark.plans.gold import ENTITY_COLUMNS, ENTITY_KEY, describe, hashes, merge_summary, settle_summary
 from tidemark.plans.silver import PAYMENT, merge_silver, silver_rows
 from tidemark.sources import schemas
-from tidemark.sources.parted import PART, PARTS, dynamic_overwrite, is_parted, merge_into, parts_of, rows_in
+from tidemark.sources.parted import PART, PARTS, Laying, dynamic_overwrite, is_parted, merge_into, parts_of, rows_in
 from tidemark.sources.tables import exists, read, settle, settled_for_now
 
 #: Payments that agree in these are one row of the partial sums. A maximum over an
@@ -50,7 +53,6 @@ def payment_deltas(before: DataFrame, after: DataFrame) -> DataFrame:
     def signed(rows: DataFrame, sign: int) -> DataFrame:
         amount = F.col("payment_amount")
         return rows.select(
-            hash_key(ENTITY_COLUMNS).alias(ENTITY_KEY),
             *GRAIN,
             (amount * sign).alias("amount"),
             F.when(amount.isNotNull(), sign).otherwise(0).alias("amounts"),
@@ -58,17 +60,50 @@ def payment_deltas(before: DataFrame, after: DataFrame) -> DataFrame:
         )
 
     both = signed(before, -1).unionByName(signed(after, 1))
-    summed = both.groupBy(ENTITY_KEY, *GRAIN).agg(*_sums())
-    return summed.filter(" OR ".join(f"{c} <> 0" for c in SUMMED))
+    summed = both.groupBy(*GRAIN).agg(*_sums()).filter(" OR ".join(f"{c} <> 0" for c in SUMMED))
+    return summed.select(hash_key(ENTITY_COLUMNS).alias(ENTITY_KEY), "*")
 
 
-def fold(sums: DataFrame, deltas: DataFrame) -> DataFrame:
+def fold(sums: DataFrame, deltas: DataFrame, laying: Laying | None = None) -> DataFrame:
     """Partial sums with signed rows of one batch folded in.
 
     An application that has this batch or a later one is left as it is, so folding again
     changes nothing. Where its last payment left, a row with zero payments keeps the batch. A
     count below zero, a payment taken out that was never in, fails the job.
+
+    Sums and signed rows of an application meet behind one shuffle. Where one has very many,
+    its rows are spread by all columns that they are folded by, in ``_folded_apart``.
     """
+    both = sums.withColumn("__new", F.lit(False)).unionByName(deltas.withColumn("__new", F.lit(True)), allowMissingColumns=True)
+    if find_hot_groups(both.select(ENTITY_KEY), [ENTITY_KEY], group_rows(sums)):
+        folded = _folded_apart(sums, deltas)
+        return folded if laying is None else laying.gather(folded)
+    spread = F.xxhash64(F.lit(1), ENTITY_KEY)
+    place = F.pmod(spread, F.lit(PLACES)).cast("int") if laying is None else laying.place_of(spread)
+    made = hash_key(ENTITY_COLUMNS)
+    moved = both.withColumns({"__place": place, ENTITY_KEY: packed(ENTITY_KEY, made)}).repartition("__place")
+    entity = Window.partitionBy("__place", ENTITY_KEY)
+    seen = moved.withColumn(ENTITY_KEY, unpacked(ENTITY_KEY, made)).withColumns(
+        {
+            "__batch": F.max(F.when(F.col("__new"), F.col("batch_id"))).over(entity),
+            "__done": F.max(F.when(~F.col("__new"), F.col("batch_id"))).over(entity),
+        }
+    )
+    due = F.col("__batch").isNotNull() & F.coalesce(F.col("__done") < F.col("__batch"), F.lit(True))
+    # A row that stays as it is is a group of its own.
+    marked = seen.withColumn("__due", due).filter(F.col("__due") | ~F.col("__new"))
+    marked = marked.withColumn("__row", F.when(~F.col("__due"), F.monotonically_increasing_id()))
+    folded = marked.groupBy("__place", ENTITY_KEY, *GRAIN, "__due", "__row").agg(
+        *_sums(),
+        F.max(F.when(F.col("__due"), F.col("__batch")).otherwise(F.col("batch_id"))).alias("batch_id"),
+        F.max(PART).alias(PART),
+        F.min("payments").alias("__least"),
+    )
+    return _without_emptied(folded, ~F.col("__due")).select(*sums.columns)
+
+
+def _folded_apart(sums: DataFrame, deltas: DataFrame) -> DataFrame:
+    """``fold`` with the rows of an application in many tasks."""
     changed = deltas.groupBy(ENTITY_KEY).agg(F.max("batch_id").alias("__batch"))
     # Rows of the table's partitions at hand; deltas are few as increments are.
     done = sums.groupBy(ENTITY_KEY).agg(F.max("batch_id").alias("__done"))
@@ -76,7 +111,6 @@ def fold(sums: DataFrame, deltas: DataFrame) -> DataFrame:
     others = sums.join(due, ENTITY_KEY, "left_anti").select(*sums.columns)
     mine = sums.join(due, ENTITY_KEY).withColumn("batch_id", F.col("__batch")).select(*sums.columns)
     fresh = deltas.join(due.select(ENTITY_KEY), ENTITY_KEY, "left_semi")
-    told = F.concat(F.lit("payments left that were never counted: "), F.col("application_id"))
     folded = (
         mine.unionByName(fresh, allowMissingColumns=True)
         .groupBy(ENTITY_KEY, *GRAIN)
@@ -86,11 +120,16 @@ def fold(sums: DataFrame, deltas: DataFrame) -> DataFrame:
             F.max(PART).alias(PART),
             F.min("payments").alias("__least"),
         )
-        .withColumn("payments", F.when(F.col("payments") < 0, F.raise_error(told).cast("long")).otherwise(F.col("payments")))
     )
-    # Of rows without payments, those that this batch emptied mark the batch.
-    folded = folded.filter((F.col("payments") > 0) | (F.col("__least") < 0))
-    return others.unionByName(folded.select(*sums.columns))
+    return others.unionByName(_without_emptied(folded, F.lit(False)).select(*sums.columns))
+
+
+def _without_emptied(folded: DataFrame, as_it_was: Column) -> DataFrame:
+    """Of rows without payments, those that this batch emptied mark the batch; others go."""
+    told = F.concat(F.lit("payments left that were never counted: "), F.col("application_id"))
+    below = ~as_it_was & (F.col("payments") < 0)
+    checked = folded.withColumn("payments", F.when(below, F.raise_error(told).cast("long")).otherwise(F.col("payments")))
+    return checked.filter(as_it_was | (F.col("payments") > 0) | (F.col("__least") < 0))
 
 
 def totals(sums: DataFrame) -> DataFrame:
@@ -144,25 +183,48 @@ def _follow(
     The signed rows are written before the payments change, and a batch that has them does not
     make them again: afterwards the payments would show no difference.
     """
+    entity = {ENTITY_KEY: hash_key(ENTITY_COLUMNS)}
     deltas = _logged(spark, tables, batch_id)
     if deltas.isEmpty():
         _log(spark, tables, _deltas_of(spark, tables, keys, change).withColumn("batch_id", batch_number(batch_id)))
         deltas = _logged(spark, tables, batch_id)
     merge_into(spark, tables.payments, schemas.PAYMENT, [PAYMENT.key], keys, change, parts=tables.parts)
     merge_into(
-        spark, tables.sums, schemas.PAYMENT_SUMS, [ENTITY_KEY], deltas, lambda sums: fold(sums, deltas), parts=tables.parts
+        spark,
+        tables.sums,
+        schemas.PAYMENT_SUMS,
+        [ENTITY_KEY],
+        deltas,
+        lambda sums, laying: fold(sums, deltas, laying),
+        parts=tables.parts,
+        laid=True,
+        given=entity,
     )
-    named = settle(deltas.select(ENTITY_KEY).distinct())
+    named = settle(deltas.select(*ENTITY_COLUMNS).distinct().select("*", entity[ENTITY_KEY].alias(ENTITY_KEY)), entity)
     touched = parts_of(named, [ENTITY_KEY], tables.parts)
-    kept = rows_in(spark, tables.sums, touched).join(named, ENTITY_KEY, "left_semi")
+    sums = rows_in(spark, tables.sums, touched)
+    # Folding leaves this batch on all sums of what it changed, unless later ones came before.
+    kept = sums.filter(F.col("batch_id") == batch_number(batch_id))
+    if not sums.filter(F.col("batch_id") > batch_number(batch_id)).isEmpty():
+        kept = sums.join(named, ENTITY_KEY, "left_semi")
     found = settle(totals(kept))
-    rows = settle(describe(found, applications, moment(now), some=True, batch_id=batch_id, now=now))
-    gone = settle(named.join(rows, ENTITY_KEY, "left_anti"))
+    rows = settle_summary(describe(found, applications, moment(now), some=True, batch_id=batch_id, now=now))
+    gone = settle(named.join(rows, ENTITY_KEY, "left_anti").select(ENTITY_KEY))
 
-    def close(current: DataFrame) -> DataFrame:
-        return merge_summary(delete_soft(current, gone, {ENTITY_KEY: ENTITY_KEY}), rows)
+    def close(current: DataFrame, laying: Laying) -> DataFrame:
+        return merge_summary(delete_soft(current, gone, {ENTITY_KEY: ENTITY_KEY}), rows, laying)
 
-    merge_into(spark, tables.summary, schemas.PAYMENT_SUMMARY, [ENTITY_KEY], named, close, parts=tables.parts)
+    merge_into(
+        spark,
+        tables.summary,
+        schemas.PAYMENT_SUMMARY,
+        [ENTITY_KEY],
+        named,
+        close,
+        parts=tables.parts,
+        laid=True,
+        given=hashes(),
+    )
 
 
 def _deltas_of(
