@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
+from tidemark.functions.keys import hash_key
 from tidemark.operators import neighbours
 from tidemark.operators.history import (
     apply_versions,
@@ -256,6 +257,21 @@ def test_an_increment_is_shuffled_once(spark, frame):
         apply_versions(target, twice, "sk", "seq").collect()
 
 
+def test_keys_that_other_columns_give_do_not_move(spark, frame):
+    """Other keys come back as they were; settled frames leave them out in the same way."""
+    ddl = DDL + ", name string"
+    given = {"sk": hash_key(["name"]), "seq": hash_key(["name", "start_ts"])}
+    made = frame([(*row("x", "y", n), f"n{n % 2}") for n in range(4)], ddl).withColumns(given)
+    odd = frame([(*row("", "1", 1), "n1"), (*row(None, None, 2), None), (*row(HEX, HEX, 3), "n1")], ddl)
+    target, source = made.filter("start_ts < '2024-01-03'").unionByName(odd), made.filter("start_ts >= '2024-01-03'")
+    got = apply_versions(target, source, "sk", "seq", given=given)
+    assert rows_of(got) == rows_of(apply_versions(target, source, "sk", "seq"))
+    kept = settle(made.unionByName(odd), given)
+    assert rows_of(kept) == rows_of(made.unionByName(odd)) and kept.columns == made.columns
+    lean = spark.read.parquet(*{f.rsplit("/", 1)[0] for f in kept.inputFiles()})
+    assert lean.filter("length(sk) = 0 AND length(seq) = 0").count() == 4
+
+
 def test_apply_versions_finds_hot_entities(frame, monkeypatch):
     rows = [row("hot", f"{i:03d}", i) for i in range(50)]
     target, source = frame(rows[:30], DDL), frame(rows[30:], DDL)

@@ -3,18 +3,22 @@
 import json
 import os
 from datetime import datetime, timedelta
+from decimal import Decimal
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
+from tidemark.functions.keys import hash_key
+from tidemark.operators import neighbours
 from tidemark.operators.merge import merge
 from tidemark.plans.batch import Layout, open_batch, run_batch
 from tidemark.plans.load import load_silver, load_summary, publish_silver, publish_summary
 from tidemark.plans import silver
 from tidemark.plans.steps import delete_step, drift_step, quality_step
-from tidemark.sources import schemas
+from tidemark.plans.totals import fold
+from tidemark.sources import parted, schemas
 from tidemark.sources.parted import PART, merge_into, parts_of, rows_in, rows_name
 from tidemark.sources.tables import (
     StateChanged,
@@ -150,6 +154,50 @@ def test_a_closed_version_that_returns_is_taken_out_of_its_part(spark, frame):
     assert [(int(r["total_payments"]), r["active_flg"]) for r in got.collect()] == [(2, "N"), (3, "N"), (1, "Y")]
 
 
+def test_versions_are_written_behind_their_one_shuffle(spark, frame, monkeypatch):
+    """Only rows that take no part in a load are gathered apart."""
+    seen = []
+    plain = parted.Laying
+
+    def laying(place_of, gather):
+        return plain(place_of, lambda rows: seen.append(rows.count()) or gather(rows))
+
+    monkeypatch.setattr(parted, "Laying", laying)
+    for n, amount in enumerate(["1", "2"]):
+        payments, applications = summary_inputs(spark, frame, amount, "2024-01-01")
+        publish_summary(spark, "t_once", payments, applications, parts=4, batch_id=str(n), now=f"2024-02-0{n + 1}")
+    assert seen == [0, 0]
+    assert read(spark, "t_once").filter("hash_sk = sha2(application_id, 256)").count() == 0
+    assert read(spark, "t_once").filter("hash_sk = sha2(upper(application_id), 256)").count() == 3
+    drop(spark, "t_once")
+
+
+def test_sums_fold_alike_in_one_shuffle_and_apart(spark, frame, monkeypatch):
+    ddl = schemas.PAYMENT_SUMS.replace("hash_sk string, ", "")
+    entity = hash_key(["application_id"]).alias("hash_sk")
+    at, late = datetime(2024, 1, 1), datetime(2024, 1, 2)
+
+    def sums(*rows):
+        made = [(a, at.date(), "ok", t, Decimal(v), n, n, Decimal(b)) for a, t, v, n, b in rows]
+        return frame(made, ddl).select(entity, "*")
+
+    old = sums(("a", at, 3, 2, 1), ("a", late, 1, 1, 1), ("b", at, 5, 1, 2), ("c", at, 7, 1, 1), ("e", at, 0, 0, 1))
+    old = old.withColumn(parted.PART, F.lit(0))
+    new = sums(("a", at, -3, -2, 2), ("A", at, 2, 1, 2), ("b", at, 9, 1, 2), ("d", late, 4, 1, 2))
+    folded = fold(old, new)
+    assert folded._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    got = rows_of(folded, "application_id", "src_load_ts", "amount", "payments", "batch_id")
+    assert got == sorted([
+        ("a", at, Decimal("0.00"), 0, Decimal(2)), ("a", late, Decimal("1.00"), 1, Decimal(2)), ("A", at, Decimal("2.00"), 1, Decimal(2)),
+        ("b", at, Decimal("5.00"), 1, Decimal(2)), ("c", at, Decimal("7.00"), 1, Decimal(1)), ("d", late, Decimal("4.00"), 1, Decimal(2)),
+        ("e", at, Decimal("0.00"), 0, Decimal(1)),
+    ], key=repr)
+    monkeypatch.setattr(neighbours, "GROUP_BYTES", 1)
+    assert rows_of(fold(old, new)) == rows_of(folded)
+    with pytest.raises(Exception, match="never counted"):
+        fold(old, sums(("c", at, 7, -2, 2))).collect()
+
+
 def test_a_small_increment_rewrites_one_partition(spark):
     """One payment on a table of 5,000 entities; then one that brings a closed version back."""
     def payments(ids, amount, day):
