@@ -180,6 +180,44 @@ def test_a_soft_delete_on_a_condition_is_one_join(frame, joins):
     assert text.count("ExistenceJoin") == 1 and "LeftSemi" not in text and "LeftAnti" not in text
 
 
+def test_a_later_filter_does_not_repeat_a_soft_delete(frame, joins):
+    gone = frame([(1,), (3,)], "pk long")
+    closed = delete_soft(people(frame), gone, {"id": "pk"}).filter("active_flg = 'Y' OR reporting_flg = 'Y'")
+    text = closed._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("= pk#") == 1 and "ExistenceJoin" not in text
+
+
+def test_soft_deletes_above_the_limit_go_around_the_join(spark, joins):
+    rows = spark.range(3000).selectExpr(
+        "id", "CAST(id % 2 AS string) AS grp", "if(id % 3 = 0, 'N', 'Y') AS active_flg", "'Y' AS reporting_flg",
+        "CAST(NULL AS timestamp_ntz) AS end_ts", "timestamp_ntz'2024-01-01' AS etl_updt_ts",
+    )
+    gone = spark.range(0, 6000, 5).withColumnRenamed("id", "pk")
+    got = delete_soft(rows, gone.unionByName(gone), {"id": "pk"})
+    assert got.count() == 3000 and got.filter("active_flg = 'N' AND end_ts IS NULL AND id % 5 = 0").count() == 200
+    assert got.filter("active_flg = 'N' AND end_ts IS NOT NULL").count() == 400
+    assert got.filter("active_flg = 'Y'").count() == 1600
+
+
+def test_keys_that_fit_as_files_alone_are_not_broadcast(spark, frame):
+    """Spark's estimate of a key column is of compressed files; the driver holds its rows."""
+    from tidemark.operators.sizing import broadcast_limit, joined_bytes, planned_bytes, small_side
+    from tidemark.sources.tables import settle
+
+    gone = settle(spark.range(20000).selectExpr("CAST(id AS string) AS name", "sha2(CAST(id AS string), 256) AS hash_sk", "1 AS n"), {
+        "hash_sk": F.sha2("name", 256)}).select("hash_sk")
+    rows = spark.range(30000).selectExpr("sha2(CAST(id AS string), 256) AS hash_sk")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "200000")
+    try:
+        assert planned_bytes(gone) <= broadcast_limit(gone) < gone.count() * joined_bytes(gone)
+        kept = rows.join(small_side(gone), "hash_sk", "left_anti")
+        assert "BroadcastHashJoin" not in kept._jdf.queryExecution().executedPlan().toString()
+        assert kept.count() == 10000
+        assert "BroadcastHashJoin" in rows.join(small_side(gone.limit(9)), "hash_sk", "left_anti")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_rows_that_no_delete_can_match_go_around_the_join(spark, frame):
     """Deletes above the broadcast limit: most rows do not enter the shuffle."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

@@ -13,7 +13,7 @@ from tidemark.functions.times import batch_number, moment
 from tidemark.operators.bands import Within, in_levels
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.merge import merge
-from tidemark.operators.sizing import fits_broadcast
+from tidemark.operators.sizing import fits_broadcast, small_side
 from tidemark.sources.tables import settle
 
 # Fixed value: the event type that marks a delete in the change archive.
@@ -130,7 +130,7 @@ def delete_hard(
     deletes = _distinct(deletes, keys, condition)
 
     def drop(rows: DataFrame) -> DataFrame:
-        kept = rows.alias("t").join(deletes.alias("s"), _match(keys, condition), "left_anti")
+        kept = rows.alias("t").join(small_side(deletes).alias("s"), _match(keys, condition), "left_anti")
         return kept.select(*target.columns)
 
     if condition is None and not fits_broadcast(deletes):
@@ -165,11 +165,21 @@ def delete_soft(
             rows = marked(rows, ranges, test)
         return rows.alias("t").select(*_closed(target, active & F.col("__hit")))
     deletes = _distinct(deletes, keys, condition)
+    once = condition is None and all(target.schema[t].dataType == deletes.schema[s].dataType for t, s in keys.items())
 
     def close(rows: DataFrame) -> DataFrame:
-        found = marked(rows.withColumn("__hit", F.lit(False)), deletes, _match(keys, condition))
+        if once:
+            # A row matches one delete at most. Later filters on the flags do not repeat this
+            # join below themselves, as they do an existence test.
+            there = small_side(deletes).withColumn("__there", F.lit(True)).alias("s")
+            found = rows.alias("t").join(there, _match(keys, None), "left")
+            hit = F.coalesce(F.col("s.__there"), F.lit(False))
+            return found.select(*_closed(target, active & hit))
+        found = marked(rows.withColumn("__hit", F.lit(False)), small_side(deletes), _match(keys, condition))
         return found.alias("t").select(*_closed(target, active & F.col("__hit")))
 
+    if once and not fits_broadcast(deletes):
+        return _around_null_keys(target, keys, lambda rows: _around_sure(rows, deletes, keys, close))
     return _around_null_keys(target, keys, close)
 
 
@@ -186,9 +196,9 @@ def _around_sure(
     rows: DataFrame,
     deletes: DataFrame,
     keys: Mapping[str, str],
-    drop: Callable[[DataFrame], DataFrame],
+    step: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
-    """``drop`` for the rows that may have a match; the others stay where they are.
+    """``step`` for the rows that may have a match; the others stay where they are.
 
     For delete keys that are too many to broadcast themselves. Each sets a bit at its hash; a
     row whose bit is not set has surely no match, and does not enter the shuffle. The bits take
@@ -198,7 +208,7 @@ def _around_sure(
     count = deletes.count()
     bits = max(BUCKET, 1 << (16 * count - 1).bit_length())
     if bits > MOST_BITS:
-        return drop(rows)
+        return step(rows)
 
     def place(columns: Sequence[str], types: DataFrame) -> Column:
         # The same types on both sides, so that equal keys hash alike.
@@ -220,7 +230,7 @@ def _around_sure(
         "__maybe", F.coalesce(bit == 1, F.lit(False))
     )
     sure = tested.filter(~F.col("__maybe")).select(*rows.columns)
-    return sure.unionByName(drop(tested.filter("__maybe").select(*rows.columns)))
+    return sure.unionByName(step(tested.filter("__maybe").select(*rows.columns)))
 
 
 def _closed(target: DataFrame, hit: Column) -> list[Column]:

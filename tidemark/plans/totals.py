@@ -14,11 +14,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from tidemark.functions.keys import hash_key, packed, unpacked, usable_key
+from tidemark.functions.keys import hash_key, hashed_text, pack, unpack, usable_key
 from tidemark.functions.times import batch_number, moment
 from tidemark.operators.deletes import delete_hard, delete_soft
 from tidemark.operators.history import PLACES
 from tidemark.operators.neighbours import find_hot_groups, group_rows
+from tidemark.operators.sizing import small_side
 from tidemark.plans.gold import ENTITY_COLUMNS, ENTITY_KEY, describe, hashes, merge_summary, settle_summary
 from tidemark.plans.silver import PAYMENT, merge_silver, silver_rows
 from tidemark.sources import schemas
@@ -80,10 +81,10 @@ def fold(sums: DataFrame, deltas: DataFrame, laying: Laying | None = None) -> Da
         return folded if laying is None else laying.gather(folded)
     spread = F.xxhash64(F.lit(1), ENTITY_KEY)
     place = F.pmod(spread, F.lit(PLACES)).cast("int") if laying is None else laying.place_of(spread)
-    made = hash_key(ENTITY_COLUMNS)
-    moved = both.withColumns({"__place": place, ENTITY_KEY: packed(ENTITY_KEY, made)}).repartition("__place")
-    entity = Window.partitionBy("__place", ENTITY_KEY)
-    seen = moved.withColumn(ENTITY_KEY, unpacked(ENTITY_KEY, made)).withColumns(
+    made = {ENTITY_KEY: hash_key(ENTITY_COLUMNS)}
+    moved = pack(both.withColumn("__place", place), made).repartition("__place")
+    entity = Window.partitionBy(ENTITY_KEY, "__place")
+    seen = unpack(moved, made).withColumns(
         {
             "__batch": F.max(F.when(F.col("__new"), F.col("batch_id"))).over(entity),
             "__done": F.max(F.when(~F.col("__new"), F.col("batch_id"))).over(entity),
@@ -209,7 +210,10 @@ def _follow(
         kept = sums.join(named, ENTITY_KEY, "left_semi")
     found = settle(totals(kept))
     rows = settle_summary(describe(found, applications, moment(now), some=True, batch_id=batch_id, now=now))
-    gone = settle(named.join(rows, ENTITY_KEY, "left_anti").select(ENTITY_KEY))
+    # By the texts that are hashed, which are shorter.
+    text = hashed_text(ENTITY_COLUMNS).alias("__text")
+    left = named.select(ENTITY_KEY, text).join(small_side(found.select(text)), "__text", "left_anti")
+    gone = settle(left.select(ENTITY_KEY))
 
     def close(current: DataFrame, laying: Laying) -> DataFrame:
         return merge_summary(delete_soft(current, gone, {ENTITY_KEY: ENTITY_KEY}), rows, laying)
@@ -236,7 +240,7 @@ def _deltas_of(
         current = rows_in(spark, tables.payments, parts_of(named, [PAYMENT.key], tables.parts))
     else:
         current = read(spark, tables.payments, schemas.PAYMENT).withColumn(PART, F.lit(None).cast("int"))
-    before = settle(current.join(named, PAYMENT.key, "left_semi").select(*current.columns))
+    before = settle(current.join(small_side(named), PAYMENT.key, "left_semi").select(*current.columns))
     return payment_deltas(before, change(before))
 
 
