@@ -272,6 +272,43 @@ def test_keys_that_other_columns_give_do_not_move(spark, frame):
     assert lean.filter("length(sk) = 0 AND length(seq) = 0").count() == 4
 
 
+def test_keys_of_versions_are_not_broadcast_by_their_files(spark, frame):
+    """Settled hashes that other columns give take no bytes, the driver would hold them whole."""
+    ddl = DDL + ", name string"
+    given = {"sk": hash_key(["name"]), "seq": hash_key(["name", "start_ts"])}
+    rows = spark.createDataFrame([(*row("x", "y", 0, "N", "N", 1), "n")], ddl).crossJoin(spark.range(20000))
+    rows = settle(rows.withColumn("name", F.col("id").cast("string")).drop("id").withColumns(given), given)
+    import tidemark.operators.history as history
+
+    seen, plain = [], history.settle
+
+    def spied(df):
+        seen.append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df)
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "200000")
+    history.settle = spied
+    try:
+        assert reopened_keys(rows, rows, "sk", "seq").count() == 20000
+    finally:
+        history.settle = plain
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(seen) == 2 and not any("BroadcastHashJoin" in plan for plan in seen)
+
+
+def test_hashes_are_made_once_for_their_uses(spark, frame):
+    """Not again for each use within a condition."""
+    ddl = DDL + ", name string"
+    given = {"seq": hash_key(["name", "start_ts"])}
+    made = frame([(*row("x", "y", n), f"n{n}") for n in range(4)], ddl).withColumns(given)
+    kept = settle(made, given)
+    moved = apply_versions(kept, made.limit(0), "sk", "seq", given=given)
+    for df in (kept, moved):
+        text = df._jdf.queryExecution().optimizedPlan().toString()
+        lines = [line for line in text.splitlines() if "sha2(" in line]
+        assert lines and all(line.count("sha2(") == 1 for line in lines), text
+
+
 def test_apply_versions_finds_hot_entities(frame, monkeypatch):
     rows = [row("hot", f"{i:03d}", i) for i in range(50)]
     target, source = frame(rows[:30], DDL), frame(rows[30:], DDL)
